@@ -23,20 +23,26 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
 
 
 def full_outer_by_key(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """``left FULL OUTER JOIN right USING (key)`` with NULL keys routed round
-    the shuffle.
-
-    NULL never matches, but every NULL key hashes to the same reducer; a side
-    whose key is NULL for a third of its rows would pile them into one task.
-    Those rows are unioned back unmatched instead.  Column names other than
-    ``key`` must differ between the sides.
+    """``left FULL OUTER JOIN right USING (key)``, planned for skew.
+
+    * Rows with a NULL key never match but would all hash to one reducer;
+      they are unioned back unmatched instead of being shuffled.
+    * A full outer sort-merge join cannot be split by AQE when one key is hot
+      (say a placeholder e-mail shared by a third of the customers).  It is
+      written as ``left LEFT JOIN right`` plus ``right`` rows whose key is not
+      on the left (an anti join against the left's distinct keys): AQE can
+      split a skewed streamed side of both, and the distinct keys are
+      pre-aggregated map-side.
+
+    Column names other than ``key`` must differ between the sides.
     """
     k = F.col(key)
-    matched = left.filter(k.isNotNull()).join(right.filter(k.isNotNull()), key, "full_outer")
-    cols = matched.columns
-    l_null = left.filter(k.isNull())
-    r_null = right.filter(k.isNull())
-    return (matched
-            .unionByName(l_null, allowMissingColumns=True)
-            .unionByName(r_null, allowMissingColumns=True)
+    l_nn, r_nn = left.filter(k.isNotNull()), right.filter(k.isNotNull())
+    with_left = l_nn.join(r_nn, key, "left")
+    right_only = r_nn.join(l_nn.select(key).distinct(), key, "left_anti")
+    cols = with_left.columns
+    return (with_left
+            .unionByName(right_only, allowMissingColumns=True)
+            .unionByName(left.filter(k.isNull()), allowMissingColumns=True)
+            .unionByName(right.filter(k.isNull()), allowMissingColumns=True)
             .select(*cols))

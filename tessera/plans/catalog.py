@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from tessera.functions.dates import date_spine
 from tessera.operators.identity import cohorts, key_overlap
-from tessera.operators.profile import field_presence, metrics, union_all
+from tessera.operators.profile import field_presence, union_all
 from tessera.operators.quarantine import completeness
 from tessera.plans import contract_suite as K
 from tessera.plans import gold, oracle, silver
 from tessera.plans.product import Product
+from tessera.plans.profiles import bronze_metrics, silver_metrics
 from tessera.plans.snapshot import measures, reconcile, snapshot
 from tessera.session import scratch_path
 from tessera.sources import landing
@@ -44,6 +45,15 @@ def _p(spark, sf_dir) -> Product:
     return Product.from_testdata(spark, sf_dir)
 
 
+# Models read by many checks or by several builds: written once, then scanned.
+SHARED_MODELS = ["silver_customers", "silver_orders", "silver_fx_daily", "silver_party",
+                 "fct_orders", "fct_sales"]
+
+
+def _pm(spark, sf_dir, *extra) -> Product:
+    return _p(spark, sf_dir).materialize(*SHARED_MODELS, *extra)
+
+
 W = oracle.with_ctes
 
 # --- bronze: landing formats round-tripped through the readers -------------
@@ -104,30 +114,7 @@ SELECT metric, CAST(value AS BIGINT) AS value FROM (
 @query("bronze_profile", _BRONZE_METRICS_SQL)
 def bronze_profile(spark, sf_dir):
     """Bronze metrics: one aggregate per table, stacked to (metric, value)."""
-    b = TestData(spark, sf_dir).bronze()
-    cust, orders = b["bronze_pos_customers"], b["bronze_pos_orders"]
-    fx, hier = b["bronze_ref_fx_rates"], b["bronze_ref_product_hierarchy"]
-    one = F.count(F.lit(1))
-    return union_all([
-        metrics(cust, {"bronze_pos_customers": one,
-                       "distinct_customers": F.count_distinct("customer_id"),
-                       "customer_columns": F.lit(len(cust.columns))}),
-        metrics(orders, {"bronze_pos_orders": one, "distinct_orders": F.count_distinct("order_id")}),
-        metrics(b["bronze_web_customers"], {"bronze_web_customers": one}),
-        metrics(b["bronze_web_products"], {"bronze_web_products": one}),
-        metrics(b["bronze_web_orders"], {
-            "bronze_web_orders": one,
-            "web_orders_has_lines": F.lit(int("lines" in b["bronze_web_orders"].columns))}),
-        key_overlap(b["bronze_web_customers"], cust, "email").select(
-            F.lit("shared_emails").alias("metric"), F.col("overlap").cast("bigint").alias("value")),
-        metrics(fx, {"bronze_ref_fx_rates": one,
-                     "fx_currencies": F.count_distinct("currency"),
-                     "fx_published_days": F.count_distinct("rate_date"),
-                     "fx_calendar_span": F.datediff(F.max("rate_date"), F.min("rate_date")) + 1}),
-        metrics(hier, {"bronze_ref_product_hierarchy": one,
-                       "departments": F.count_distinct("department")}),
-        metrics(b["bronze_erp_customer_changes"], {"bronze_erp_customer_changes": one}),
-    ])
+    return bronze_metrics(TestData(spark, sf_dir).bronze())
 
 
 def _presence_sql(table: str, cols: list[str], src: str) -> str:
@@ -265,31 +252,7 @@ SELECT metric, CAST(value AS BIGINT) AS value FROM (
 )""", ["silver_customers", "silver_orders", "silver_quarantine_orders", "silver_product_hierarchy",
        "silver_fx_daily", "silver_web_customers", "silver_web_order_lines", "silver_party"]))
 def silver_profile(spark, sf_dir):
-    p = _p(spark, sf_dir)
-    one = F.count(F.lit(1))
-    pos, web = F.col("in_pos"), F.col("in_web")
-    return union_all([
-        metrics(p.silver_customers, {"silver_customers": one,
-                                     "customer_columns": F.lit(len(p.silver_customers.columns)),
-                                     "countries": F.count_distinct("country"),
-                                     "missing_email": F.count_if(F.col("email") == "")}),
-        metrics(p.silver_orders, {"silver_orders": one}),
-        metrics(p.silver_quarantine_orders, {"silver_quarantine_orders": one}),
-        metrics(p.silver_product_hierarchy, {"silver_product_hierarchy": one}),
-        metrics(p.silver_fx_daily, {"silver_fx_daily": one,
-                                    "fx_carried": F.count_if("rate_is_carried"),
-                                    "fx_currencies": F.count_distinct("currency"),
-                                    "fx_calendar_days": F.count_distinct("rate_date")}),
-        metrics(p.silver_web_customers, {"silver_web_customers": one}),
-        metrics(p.silver_web_order_lines, {"silver_web_order_lines": one,
-                                           "web_first_day": F.unix_date(F.min("order_date")),
-                                           "web_last_day": F.unix_date(F.max("order_date"))}),
-        metrics(p.silver_party, {"silver_party": one,
-                                 "party_matched": F.count_if(pos & web),
-                                 "party_pos_only": F.count_if(pos & ~web),
-                                 "party_web_only": F.count_if(~pos & web),
-                                 "party_no_email": F.count_if(F.col("email") == "")}),
-    ])
+    return silver_metrics(_p(spark, sf_dir))
 
 
 # --- gold ----------------------------------------------------------------------
@@ -355,7 +318,7 @@ FROM ({_SNAPSHOT_SQL}) s, (VALUES ('eager_aggregate'), ('line_joins')) b(build)"
 def reconcile_builds(spark, sf_dir):
     """Two builds of the management summary -- aggregate-before-join and the
     line-grain join plan -- must publish the same headline figures."""
-    p = _p(spark, sf_dir)
+    p = _pm(spark, sf_dir)
     joined = gold.revenue_summary_joined(p.fct_sales, p.dim_date, p.dim_product, p.dim_party)
     snaps = union_all([
         snapshot(p.fct_revenue_summary).withColumn("build", F.lit("eager_aggregate")),
@@ -392,7 +355,7 @@ _GEN_SQL, _GEN_NEEDS = _generic_sql(K.SILVER_CHECKS + K.GOLD_CHECKS)
 
 @query("contract_generic", W(_GEN_SQL, _GEN_NEEDS))
 def contract_generic(spark, sf_dir):
-    return K.generic(_p(spark, sf_dir))
+    return K.generic(_pm(spark, sf_dir, "fct_revenue_summary"))
 
 
 _REL = [c for c in K.GOLD_CHECKS if c.test == "relationships"]
@@ -405,7 +368,7 @@ _REL_SQL, _REL_NEEDS = _generic_sql(_REL)
     + ", ".join(f"('{c.name}', '{c.to_table}', '{c.to_column}')" for c in _REL)
     + ") p(contract, parent_table, parent_column) ON p.contract = r.contract", _REL_NEEDS))
 def orphan_fk(spark, sf_dir):
-    return K.relationships(_p(spark, sf_dir))
+    return K.relationships(_pm(spark, sf_dir))
 
 
 @query("contract_quantity", W("""
@@ -444,7 +407,7 @@ SELECT u.country, d.country IS NOT NULL AS resolves FROM (
 LEFT JOIN dim_country d ON d.country = u.country""", ["dim_party", "dim_customer", "fct_daily_revenue",
                                                       "dim_country"]))
 def orphan_countries(spark, sf_dir):
-    return K.countries_resolve(_p(spark, sf_dir))
+    return K.countries_resolve(_p(spark, sf_dir).materialize("silver_customers", "silver_party"))
 
 
 @query("contract_fiscal", W("""
@@ -461,7 +424,7 @@ FROM (SELECT CAST(sum(amount_usd) AS DECIMAL(29,4)) AS total FROM fct_sales) d,
      (SELECT CAST(sum(revenue_usd) + sum(cancelled_revenue_usd) AS DECIMAL(29,4)) AS total
       FROM fct_revenue_summary) s""", ["fct_sales", "fct_revenue_summary"]))
 def contract_revenue_conserved(spark, sf_dir):
-    return K.revenue_conserved(_p(spark, sf_dir))
+    return K.revenue_conserved(_pm(spark, sf_dir))
 
 
 _SINGULAR_SQL = f"""
@@ -495,7 +458,7 @@ _SINGULAR_SQL = f"""
                               "fct_daily_revenue", "dim_country", "silver_orders"})))
 def contract_suite(spark, sf_dir):
     """All 60 declared tests and the 6 singular contracts, one row each."""
-    return K.suite(_p(spark, sf_dir))
+    return K.suite(_pm(spark, sf_dir, "fct_revenue_summary"))
 
 
 def queries() -> dict[str, Query]:

@@ -103,3 +103,26 @@ class Product:
 
     def model(self, name: str) -> DataFrame:
         return getattr(self, name)
+
+    @property
+    def spark(self) -> SparkSession:
+        return next(iter(self.bronze.values())).sparkSession
+
+    def materialize(self, *names: str, fmt: str = "parquet") -> "Product":
+        """Write the named models once to the shared folder and read them back.
+
+        For plans that consume a model several times (contracts, builds that
+        are reconciled): each is computed once, later readers get a plain
+        scan with column pruning and statistics, and a lost executor costs a
+        re-read of the written table instead of the whole lineage.  Names
+        must come in dependency order and before dependants are built.
+        """
+        from tessera.session import scratch_path
+        for name in names:
+            if name in self.__dict__ and getattr(self, "_written", {}).get(name):
+                continue
+            path = scratch_path(self.spark, f"tables/{name}")
+            self.model(name).write.mode("overwrite").format(fmt).save(path)
+            self.__dict__[name] = self.spark.read.format(fmt).load(path)
+            self.__dict__.setdefault("_written", {})[name] = path
+        return self

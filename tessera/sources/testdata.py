@@ -95,6 +95,7 @@ class TestData:
 
     spark: SparkSession
     sf_dir: str
+    __test__ = False  # not a pytest class
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
