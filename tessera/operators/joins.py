@@ -25,24 +25,31 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
 def full_outer_by_key(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """``left FULL OUTER JOIN right USING (key)``, planned for skew.
 
-    * Rows with a NULL key never match but would all hash to one reducer;
-      they are unioned back unmatched instead of being shuffled.
     * A full outer sort-merge join cannot be split by AQE when one key is hot
       (say a placeholder e-mail shared by a third of the customers).  It is
-      written as ``left LEFT JOIN right`` plus ``right`` rows whose key is not
-      on the left (an anti join against the left's distinct keys): AQE can
-      split a skewed streamed side of both, and the distinct keys are
+      written as ``left LEFT JOIN right`` plus the ``right`` rows whose key is
+      not on the left (an anti join against the left's distinct keys): AQE
+      can split a skewed streamed side of both, and the distinct keys are
       pre-aggregated map-side.
+    * Rows with a NULL key never match, but would all hash to one reducer.
+      They join on a tagged surrogate instead -- (side, row hash) -- which
+      spreads them and can never match across sides.  No extra scan is needed
+      to route them.
 
     Column names other than ``key`` must differ between the sides.
     """
     k = F.col(key)
-    l_nn, r_nn = left.filter(k.isNotNull()), right.filter(k.isNotNull())
-    with_left = l_nn.join(r_nn, key, "left")
-    right_only = r_nn.join(l_nn.select(key).distinct(), key, "left_anti")
-    cols = with_left.columns
-    return (with_left
-            .unionByName(right_only, allowMissingColumns=True)
-            .unionByName(left.filter(k.isNull()), allowMissingColumns=True)
-            .unionByName(right.filter(k.isNull()), allowMissingColumns=True)
-            .select(*cols))
+
+    def tagged(df: DataFrame, side: str) -> DataFrame:
+        return df.select(
+            "*",
+            F.when(k.isNull(), F.lit(side)).otherwise(F.lit("key")).alias("_jt"),
+            F.coalesce(k, F.xxhash64(*[F.col(c) for c in df.columns]).cast("string")).alias("_jk"))
+
+    lt, rt = tagged(left, "left"), tagged(right, "right")
+    with_left = lt.join(rt.drop(key), ["_jt", "_jk"], "left")
+    left_keys = lt.filter(F.col("_jt") == "key").select("_jt", "_jk").distinct()
+    right_only = rt.join(left_keys, ["_jt", "_jk"], "left_anti")
+    out_cols = [key] + [c for c in left.columns if c != key] + [c for c in right.columns if c != key]
+    return (with_left.unionByName(right_only, allowMissingColumns=True)
+            .select(*out_cols))

@@ -50,6 +50,12 @@ SHARED_MODELS = ["silver_customers", "silver_orders", "silver_fx_daily", "silver
                  "fct_orders", "fct_sales"]
 
 
+def _ps(spark, sf_dir) -> Product:
+    """For the summary family: the party table is read by fct_sales and again
+    by the summary, so it is written once."""
+    return _p(spark, sf_dir).materialize("silver_customers", "silver_party")
+
+
 def _pm(spark, sf_dir, *extra) -> Product:
     return _p(spark, sf_dir).materialize(*SHARED_MODELS, *extra)
 
@@ -255,12 +261,26 @@ def silver_profile(spark, sf_dir):
     return silver_metrics(_p(spark, sf_dir))
 
 
+@query("silver_countries", W("SELECT DISTINCT country FROM silver_customers", ["silver_customers"]))
+def silver_countries(spark, sf_dir):
+    """The set of conformed POS countries (a sorted set in the silver metrics):
+    distinct rows, never gathered into one array."""
+    return _p(spark, sf_dir).silver_customers.select("country").distinct().orderBy("country")
+
+
 # --- gold ----------------------------------------------------------------------
 for _name in Product.GOLD:
+    if _name == "fct_revenue_summary":
+        continue
     query(_name, oracle.model(_name))(
         (lambda n: lambda spark, sf_dir: _p(spark, sf_dir).model(n))(_name))
 
 
+@query("fct_revenue_summary", oracle.model("fct_revenue_summary"))
+def fct_revenue_summary(spark, sf_dir):
+    return _ps(spark, sf_dir).fct_revenue_summary
+
+
 @query("fx_left_unpriced", W("""
 SELECT CAST(count(*) AS BIGINT) AS orders,
        CAST(count(rate_to_usd) AS BIGINT) AS priced,
@@ -295,7 +315,7 @@ FROM fct_revenue_summary
 GROUP BY GROUPING SETS ((fiscal_year_label), (customer_segment), (product_segment), (channel_system))
 """, ["fct_revenue_summary"]))
 def measures_by_slicer(spark, sf_dir):
-    return measures(_p(spark, sf_dir).fct_revenue_summary)
+    return measures(_ps(spark, sf_dir).fct_revenue_summary)
 
 
 _SNAPSHOT_SQL = """
@@ -307,7 +327,7 @@ FROM fct_revenue_summary"""
 
 @query("product_snapshot", W(_SNAPSHOT_SQL, ["fct_revenue_summary"]))
 def product_snapshot(spark, sf_dir):
-    return snapshot(_p(spark, sf_dir).fct_revenue_summary)
+    return snapshot(_ps(spark, sf_dir).fct_revenue_summary)
 
 
 @query("reconcile_builds", W(f"""
@@ -396,7 +416,7 @@ _PROBE_FIGURES = {
     + " UNION ALL ".join(f"SELECT '{p}' AS problem, CAST({e} AS DECIMAL(29,4)) AS figure FROM fct_revenue_summary"
                          for p, e in _PROBE_FIGURES.items()) + ")", ["fct_revenue_summary"]))
 def contract_both_systems(spark, sf_dir):
-    return K.both_systems(_p(spark, sf_dir))
+    return K.both_systems(_ps(spark, sf_dir))
 
 
 @query("orphan_countries", W("""
@@ -427,6 +447,39 @@ def contract_revenue_conserved(spark, sf_dir):
     return K.revenue_conserved(_pm(spark, sf_dir))
 
 
+def _money_sql() -> tuple[str, list[str]]:
+    from tessera.types import MONEY_NAME_FRAGMENTS
+    cols = {"dim_product": ["list_price_usd"],
+            "fct_sales": ["amount", "rate_to_usd", "amount_usd"],
+            "fct_orders": ["unit_price", "amount", "rate_to_usd", "amount_usd"],
+            "fct_revenue_summary": ["revenue_usd", "cancelled_revenue_usd", "revenue_at_carried_rate"],
+            "fct_daily_revenue": ["revenue"]}
+    for cs in cols.values():
+        assert all(any(f in c for f in MONEY_NAME_FRAGMENTS) for c in cs)
+    parts = [f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
+             f"lower((SELECT typeof({c}) FROM {t} LIMIT 1)) AS data_type" for t, cs in cols.items() for c in cs]
+    body = ("SELECT table_name, column_name, data_type, "
+            "(data_type LIKE 'decimal%' OR data_type LIKE 'numeric%') AS is_exact FROM ("
+            + " UNION ALL ".join(parts) + ")")
+    return body, list(cols)
+
+
+@query("contract_money_types", W(*_money_sql()))
+def contract_money_types(spark, sf_dir):
+    """Every money-named column of the published gold tables with its type;
+    ``is_exact`` false is a breach (a binary float holding money)."""
+    from tessera.types import EXACT_NUMERIC_PREFIXES, MONEY_NAME_FRAGMENTS
+    p = _p(spark, sf_dir)
+    rows = []
+    for t in K.MONEY_TABLES:
+        for f in p.model(t).schema.fields:
+            if any(fr in f.name.lower() for fr in MONEY_NAME_FRAGMENTS):
+                dt_ = f.dataType.simpleString()
+                rows.append((t, f.name, dt_, any(dt_.startswith(x) for x in EXACT_NUMERIC_PREFIXES)))
+    return spark.createDataFrame(rows, "table_name string, column_name string, data_type string, "
+                                       "is_exact boolean")
+
+
 _SINGULAR_SQL = f"""
   UNION ALL SELECT 'silver_orders_never_holds_a_non_positive_quantity',
     CAST((SELECT count(*) FROM silver_orders WHERE quantity <= 0 OR quantity IS NULL) AS BIGINT)

@@ -39,17 +39,31 @@ def fct_orders(silver_orders: DataFrame, fx: DataFrame) -> DataFrame:
                     "rate_is_carried", usd_amount("amount", "rate_to_usd").alias("amount_usd"))
 
 
+def party_lookup(party: DataFrame) -> DataFrame:
+    """How each selling system names a party: POS by its customer id, the
+    storefront by the e-mail of an account it knows (``in_web``).  One row per
+    (system, key), built from ONE read of the party table."""
+    pairs = F.array(
+        F.struct(F.lit("POS").alias("_sys"), F.col("pos_customer_id").alias("_k")),
+        F.struct(F.lit("WEB").alias("_sys"),
+                 F.when(F.col("in_web"), F.col("email")).alias("_k")))
+    return (party.select("party_key", F.explode(pairs).alias("_p"))
+                 .select("party_key", "_p._sys", "_p._k")
+                 .filter(F.col("_k").isNotNull()))
+
+
 def fct_sales(silver_orders: DataFrame, web_lines: DataFrame, party: DataFrame,
               fx: DataFrame) -> DataFrame:
     """Both selling systems at line grain, one currency; cancellations kept.
 
-    The POS side is ``fct_orders`` without its FX columns (those are a pure
-    left join that does not change rows), so both sides share one FX join.
+    Same rows as ``POS JOIN party ON pos_customer_id`` UNION ALL ``WEB JOIN
+    party ON email AND in_web``, planned as one union, one join to the party
+    lookup on (system, key) and one FX join.  The POS side is ``fct_orders``
+    without its FX columns (a pure left join that does not change rows).
     """
-    pos_party = party.filter(F.col("pos_customer_id").isNotNull()).select(
-        F.col("pos_customer_id").alias("_pos_id"), "party_key")
-    pos = silver_orders.join(pos_party, F.col("customer_id") == F.col("_pos_id")).select(
-        "party_key",
+    pos = silver_orders.select(
+        F.lit("POS").alias("_sys"),
+        F.col("customer_id").alias("_k"),
         F.col("order_id").alias("sale_id"),
         "product_id",
         F.col("order_date").cast("date").alias("order_date"),
@@ -59,9 +73,9 @@ def fct_sales(silver_orders: DataFrame, web_lines: DataFrame, party: DataFrame,
         "amount",
         "currency",
     )
-    web_party = party.filter(F.col("in_web")).select(F.col("email").alias("_p_email"), "party_key")
-    web = web_lines.join(web_party, F.col("email") == F.col("_p_email")).select(
-        "party_key",
+    web = web_lines.select(
+        F.lit("WEB").alias("_sys"),
+        F.col("email").alias("_k"),
         F.col("web_order_id").alias("sale_id"),
         "product_id",
         "order_date",
@@ -71,7 +85,7 @@ def fct_sales(silver_orders: DataFrame, web_lines: DataFrame, party: DataFrame,
         "amount",
         "currency",
     )
-    united = pos.unionByName(web)
+    united = pos.unionByName(web).join(party_lookup(party), ["_sys", "_k"])
     j = priced(united, fx, F.col("order_date"))
     return j.select("party_key", "sale_id", "product_id", "order_date", "channel_system",
                     "is_cancelled", "quantity", "amount", "currency", "rate_to_usd",

@@ -17,7 +17,16 @@ class Product:
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Product":
-        return cls(TestData(spark, sf_dir).bronze())
+        """Bronze from the test-data adapter.  The FX reference feed -- a small
+        file in production -- is landed once (written to the shared folder) so
+        that its several readers scan a small table instead of re-deriving it
+        from the orders."""
+        from tessera.session import scratch_path
+        bronze = TestData(spark, sf_dir).bronze()
+        path = scratch_path(spark, "landing/reference/fx_rates")
+        bronze["bronze_ref_fx_rates"].write.mode("overwrite").parquet(path)
+        bronze["bronze_ref_fx_rates"] = spark.read.parquet(path)
+        return cls(bronze)
 
     # silver -----------------------------------------------------------------
     @cached_property
