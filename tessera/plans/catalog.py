@@ -176,7 +176,7 @@ def quarantine_completeness(spark, sf_dir):
 
 @query("date_spine", oracle.model("fx_calendar"))
 def date_spine_q(spark, sf_dir):
-    quotes = silver.fx_quotes(TestData(spark, sf_dir).bronze())
+    quotes = silver.fx_quotes(_p(spark, sf_dir)._fx_bronze())
     bounds = quotes.agg(F.min("rate_date").alias("lo"), F.max("rate_date").alias("hi"))
     return date_spine(bounds)
 

@@ -21,12 +21,19 @@ class Product:
         file in production -- is landed once (written to the shared folder) so
         that its several readers scan a small table instead of re-deriving it
         from the orders."""
-        from tessera.session import scratch_path
-        bronze = TestData(spark, sf_dir).bronze()
-        path = scratch_path(spark, "landing/reference/fx_rates")
-        bronze["bronze_ref_fx_rates"].write.mode("overwrite").parquet(path)
-        bronze["bronze_ref_fx_rates"] = spark.read.parquet(path)
-        return cls(bronze)
+        p = cls(TestData(spark, sf_dir).bronze())
+        p._land_fx = True
+        return p
+
+    def _fx_bronze(self) -> dict[str, DataFrame]:
+        """Bronze with the FX feed landed (written once, on first use)."""
+        if getattr(self, "_land_fx", False):
+            from tessera.session import scratch_path
+            path = scratch_path(self.spark, "landing/reference/fx_rates")
+            self.bronze["bronze_ref_fx_rates"].write.mode("overwrite").parquet(path)
+            self.bronze["bronze_ref_fx_rates"] = self.spark.read.parquet(path)
+            self._land_fx = False
+        return self.bronze
 
     # silver -----------------------------------------------------------------
     @cached_property
@@ -59,7 +66,7 @@ class Product:
 
     @cached_property
     def silver_fx_daily(self) -> DataFrame:
-        return silver.fx_daily(self.bronze)
+        return silver.fx_daily(self._fx_bronze())
 
     @cached_property
     def silver_party(self) -> DataFrame:
