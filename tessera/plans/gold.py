@@ -52,15 +52,11 @@ def party_lookup(party: DataFrame) -> DataFrame:
                  .filter(F.col("_k").isNotNull()))
 
 
-def fct_sales(silver_orders: DataFrame, web_lines: DataFrame, party: DataFrame,
-              fx: DataFrame) -> DataFrame:
-    """Both selling systems at line grain, one currency; cancellations kept.
-
-    Same rows as ``POS JOIN party ON pos_customer_id`` UNION ALL ``WEB JOIN
-    party ON email AND in_web``, planned as one union, one join to the party
-    lookup on (system, key) and one FX join.  The POS side is ``fct_orders``
-    without its FX columns (a pure left join that does not change rows).
-    """
+def sales_lines(silver_orders: DataFrame, web_lines: DataFrame, fx: DataFrame) -> DataFrame:
+    """Both selling systems at line grain, priced in USD, before identity:
+    each line carries how its system names the buyer (``_sys``, ``_k``).
+    The POS side is ``fct_orders`` without its FX columns (a pure left join
+    that does not change rows), so both sides share one FX join."""
     pos = silver_orders.select(
         F.lit("POS").alias("_sys"),
         F.col("customer_id").alias("_k"),
@@ -85,11 +81,22 @@ def fct_sales(silver_orders: DataFrame, web_lines: DataFrame, party: DataFrame,
         "amount",
         "currency",
     )
-    united = pos.unionByName(web).join(party_lookup(party), ["_sys", "_k"])
-    j = priced(united, fx, F.col("order_date"))
-    return j.select("party_key", "sale_id", "product_id", "order_date", "channel_system",
-                    "is_cancelled", "quantity", "amount", "currency", "rate_to_usd",
-                    "rate_is_carried", usd_amount("amount", "rate_to_usd").alias("amount_usd"))
+    j = priced(pos.unionByName(web), fx, F.col("order_date"))
+    return j.withColumn("amount_usd", usd_amount("amount", "rate_to_usd"))
+
+
+SALES_COLUMNS = ["party_key", "sale_id", "product_id", "order_date", "channel_system",
+                 "is_cancelled", "quantity", "amount", "currency", "rate_to_usd",
+                 "rate_is_carried", "amount_usd"]
+
+
+def fct_sales(lines: DataFrame, party: DataFrame) -> DataFrame:
+    """Both selling systems at line grain, one currency; cancellations kept.
+
+    Same rows as ``POS JOIN party ON pos_customer_id`` UNION ALL ``WEB JOIN
+    party ON email AND in_web``: one join of the priced lines to the party
+    lookup on (system, key)."""
+    return lines.join(party_lookup(party), ["_sys", "_k"]).select(*SALES_COLUMNS)
 
 
 def dim_customer(silver_customers: DataFrame) -> DataFrame:
@@ -168,32 +175,23 @@ SUMMARY_KEYS = ["fiscal_year", "fiscal_year_label", "fiscal_quarter", "fiscal_qu
                 "channel_system", "department", "product_segment", "customer_segment", "country"]
 
 
-def revenue_summary(sales: DataFrame, hierarchy: DataFrame, party: DataFrame) -> DataFrame:
-    """Revenue by fiscal period x channel x product rollup x customer segment.
-
-    Same answer as ``sales JOIN dim_date JOIN dim_product LEFT JOIN dim_party``
-    grouped by the nine keys, planned for volume:
-
-    * sales are first aggregated to (day, product, party, channel) -- a partial
-      (map-side) aggregate, so a hot party or product is collapsed before any
-      shuffle and the joins see groups, not lines;
-    * the fiscal attributes are a function of the day (the same function that
-      builds ``dim_date``), so no join to a dimension derived from this fact;
-    * the product rollup is a LEFT join to the published hierarchy with
-      'Unallocated' for the rest -- exactly the members ``dim_product`` adds --
-      keeping the inner-join rules (NULL ids drop; a NULL published id means no
-      SKU is unpublished, so those lines drop too).
-    """
+def _partial_sums(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Line measures summed per ``keys`` (partial, map-side first)."""
     cancelled = F.col("is_cancelled").cast("int") == 1
     net = F.coalesce(~cancelled, F.lit(True))
     carried = (F.col("is_cancelled").cast("int") == 0) & (F.col("rate_is_carried").cast("int") == 1)
-    pre = (sales.filter(F.col("order_date").isNotNull() & F.col("product_id").isNotNull())
-                .groupBy("order_date", "product_id", "party_key", "channel_system")
-                .agg(F.count(F.lit(1)).alias("n"),
-                     F.sum(F.when(net, F.col("quantity")).otherwise(F.lit(0))).alias("u"),
-                     F.sum(F.when(net, F.col("amount_usd")).otherwise(F.lit(0))).alias("r"),
-                     F.sum(F.when(cancelled, F.col("amount_usd")).otherwise(F.lit(0))).alias("c"),
-                     F.sum(F.when(carried, F.col("amount_usd")).otherwise(F.lit(0))).alias("k")))
+    return (df.filter(F.col("order_date").isNotNull() & F.col("product_id").isNotNull())
+              .groupBy(*keys)
+              .agg(F.count(F.lit(1)).alias("n"),
+                   F.sum(F.when(net, F.col("quantity")).otherwise(F.lit(0))).alias("u"),
+                   F.sum(F.when(net, F.col("amount_usd")).otherwise(F.lit(0))).alias("r"),
+                   F.sum(F.when(cancelled, F.col("amount_usd")).otherwise(F.lit(0))).alias("c"),
+                   F.sum(F.when(carried, F.col("amount_usd")).otherwise(F.lit(0))).alias("k")))
+
+
+def _summarise(pre: DataFrame, hierarchy: DataFrame, party: DataFrame) -> DataFrame:
+    """Pre-aggregated (order_date, product_id, party_key, channel_system) groups
+    -> the nine reporting keys."""
     pub = hierarchy.select(F.col("product_id").alias("_pid"), "department",
                            F.col("segment").alias("product_segment"))
     no_null_id = ~_published_has_null_id(hierarchy)
@@ -223,6 +221,42 @@ def revenue_summary(sales: DataFrame, hierarchy: DataFrame, party: DataFrame) ->
     )
 
 
+def revenue_summary(sales: DataFrame, hierarchy: DataFrame, party: DataFrame) -> DataFrame:
+    """Revenue by fiscal period x channel x product rollup x customer segment,
+    from the sales fact (e.g. a written ``fct_sales``).
+
+    Same answer as ``sales JOIN dim_date JOIN dim_product LEFT JOIN dim_party``
+    grouped by the nine keys, planned for volume:
+
+    * sales are first aggregated to (day, product, party, channel) -- a partial
+      (map-side) aggregate, so a hot party or product is collapsed before any
+      shuffle and the joins see groups, not lines;
+    * the fiscal attributes are a function of the day (the same function that
+      builds ``dim_date``), so no join to a dimension derived from this fact;
+    * the product rollup is a LEFT join to the published hierarchy with
+      'Unallocated' for the rest -- exactly the members ``dim_product`` adds --
+      keeping the inner-join rules (NULL ids drop; a NULL published id means no
+      SKU is unpublished, so those lines drop too).
+    """
+    pre = _partial_sums(sales, ["order_date", "product_id", "party_key", "channel_system"])
+    return _summarise(pre, hierarchy, party)
+
+
+def revenue_summary_from_lines(lines: DataFrame, hierarchy: DataFrame, party: DataFrame) -> DataFrame:
+    """The same summary straight from the priced lines (``sales_lines``): the
+    lines are aggregated per (day, product, system, buyer key, channel) right
+    after the broadcast FX join, and only these groups meet the party lookup
+    -- one shuffle of line-grain data instead of two.  Equal to
+    ``revenue_summary(fct_sales(lines, party), ...)``: the lookup join is N:1
+    per group exactly as per line (a duplicated key fans out sums and counts
+    alike)."""
+    pre = _partial_sums(lines, ["order_date", "product_id", "_sys", "_k", "channel_system"])
+    keyed = pre.join(party_lookup(party), ["_sys", "_k"]).drop("_sys", "_k")
+    pre2 = keyed.groupBy("order_date", "product_id", "party_key", "channel_system").agg(
+        *[F.sum(c).alias(c) for c in ["n", "u", "r", "c", "k"]])
+    return _summarise(pre2, hierarchy, party)
+
+
 def revenue_summary_joined(sales: DataFrame, dim_date_df: DataFrame, dim_product_df: DataFrame,
                            dim_party_df: DataFrame) -> DataFrame:
     """The summary planned the textbook way (line-grain joins to the three

@@ -77,10 +77,14 @@ class Product:
     def fct_orders(self) -> DataFrame:
         return gold.fct_orders(self.silver_orders, self.silver_fx_daily)
 
+    @cached_property
+    def sales_lines(self) -> DataFrame:
+        return gold.sales_lines(self.silver_orders, self.silver_web_order_lines,
+                                self.silver_fx_daily)
+
     @cached_property
     def fct_sales(self) -> DataFrame:
-        return gold.fct_sales(self.silver_orders, self.silver_web_order_lines,
-                              self.silver_party, self.silver_fx_daily)
+        return gold.fct_sales(self.sales_lines, self.silver_party)
 
     @cached_property
     def dim_customer(self) -> DataFrame:
@@ -108,8 +112,12 @@ class Product:
 
     @cached_property
     def fct_revenue_summary(self) -> DataFrame:
-        return gold.revenue_summary(self.fct_sales, self.silver_product_hierarchy,
-                                    self.dim_party)
+        if "fct_sales" in getattr(self, "_written", {}) or "fct_sales" in self.__dict__:
+            # the fact is already built (or written): aggregate it
+            return gold.revenue_summary(self.fct_sales, self.silver_product_hierarchy,
+                                        self.dim_party)
+        return gold.revenue_summary_from_lines(self.sales_lines, self.silver_product_hierarchy,
+                                               self.dim_party)
 
     SILVER = ["silver_customers", "silver_orders", "silver_quarantine_orders",
               "silver_web_customers", "silver_web_order_lines", "silver_product_hierarchy",

@@ -118,3 +118,11 @@ def test_null_published_id_hides_unpublished(spark):
     assert sorted(p.fct_revenue_summary.collect()) == sorted(joined.collect())
     # the unpublished line drops out of the summary, exactly as NOT IN + inner join do
     assert snapshot(p.fct_revenue_summary).collect()[0].sale_lines == 3
+
+
+@pytest.mark.parametrize("extra", [(), ((None, "ghost", "X", "Home", "Core", 1.0),)])
+def test_summary_from_lines_equals_summary_from_fact(spark, extra):
+    p = Product(_bronze(spark, extra_published=list(extra)))
+    from_lines = gold.revenue_summary_from_lines(p.sales_lines, p.silver_product_hierarchy, p.dim_party)
+    from_fact = gold.revenue_summary(p.fct_sales, p.silver_product_hierarchy, p.dim_party)
+    assert sorted(from_lines.collect()) == sorted(from_fact.collect())
