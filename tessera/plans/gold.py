@@ -162,12 +162,20 @@ def dim_date(sales: DataFrame) -> DataFrame:
 
 
 def fct_daily_revenue(fct_orders_df: DataFrame, dim_customer_df: DataFrame) -> DataFrame:
+    """Orders, units and raw revenue per (order day, customer country).
+
+    Orders are first summed per (day, customer) -- partial aggregation, so a
+    customer holding a third of the orders is one row per day before the
+    join -- then joined N:1 to the customer and summed per country (sums and
+    counts compose exactly; a duplicated customer fans out both alike)."""
+    pre = fct_orders_df.groupBy("order_date", "customer_id").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("quantity").alias("_u"), F.sum("amount").alias("_r"))
     c = dim_customer_df.select(F.col("customer_id").alias("_c_id"), "country")
-    j = fct_orders_df.join(c, F.col("customer_id") == F.col("_c_id"))
+    j = pre.join(c, F.col("customer_id") == F.col("_c_id"))
     return j.groupBy("order_date", "country").agg(
-        F.count(F.lit(1)).alias("orders"),
-        F.sum("quantity").cast("bigint").alias("units"),
-        F.sum("amount").cast(SUM_MONEY).alias("revenue"),
+        F.sum("_n").cast("bigint").alias("orders"),
+        F.sum("_u").cast("bigint").alias("units"),
+        F.sum("_r").cast(SUM_MONEY).alias("revenue"),
     )
 
 

@@ -117,6 +117,8 @@ def run_bronze(run: Run, landing_dir: str, day: str) -> dict:
 def run_silver(run: Run) -> dict:
     bronze = {n: run.read(n) for n in LANDING}
     p = Product(bronze)
+    # accepted and quarantined orders share the latest-event pick: written once
+    p.materialize("latest_orders", fmt=run.fmt)
     for name in Product.SILVER:
         run.save(p.model(name), name)
     written = Product(bronze)
