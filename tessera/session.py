@@ -45,14 +45,21 @@ def shared_dir(spark: SparkSession) -> str:
     Read from the session; only when it is unset (local runs, tests) is a
     private folder created and registered as the checkpoint directory.
     """
-    sc = spark.sparkContext
-    path = sc.getCheckpointDir()
+    path = None
+    try:
+        sc = spark.sparkContext
+        path = sc.getCheckpointDir()
+    except Exception:  # e.g. a Spark Connect session: no SparkContext
+        sc = None
     if not path:
         path = spark.conf.get("spark.checkpoint.dir", None)
-        if not path:
-            path = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        sc.setCheckpointDir(path)
-        path = sc.getCheckpointDir() or path
+    if not path:
+        path = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        if sc is not None:
+            sc.setCheckpointDir(path)
+            path = sc.getCheckpointDir() or path
+        else:
+            spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
