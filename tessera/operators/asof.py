@@ -54,3 +54,13 @@ def asof_lookup(facts: DataFrame, dense: DataFrame, fact_key: str, fact_date: Co
     return facts.join(dense,
                       (facts[fact_key] == dense[key]) & (fact_date == dense[date_col]),
                       how)
+
+
+def carry_forward_rows(quotes: DataFrame, key: str, date_col: str) -> int:
+    """Exact row count of ``carry_forward(quotes, ...)`` without building it:
+    sum over keys of (last quote of any key - first quote of the key + 1).
+    One aggregate over the quotes; one number reaches the driver."""
+    per_key = quotes.groupBy(key).agg(F.min(date_col).alias("_from"))
+    hi = quotes.select(F.max(date_col)).scalar()
+    n = per_key.agg(F.sum(F.datediff(hi, F.col("_from")) + 1).alias("n")).collect()[0]["n"]
+    return int(n or 0)

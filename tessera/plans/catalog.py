@@ -194,7 +194,7 @@ def asof_range_join(spark, sf_dir):
     o = p.silver_orders.select("order_id", "currency", F.col("order_date").cast("date").alias("order_date"))
     g = gold.priced(o, p.silver_fx_daily.select(
         "currency", "rate_date", "rate_to_usd", F.col("quoted_on").alias("rate_is_carried")),
-        F.col("order_date"))
+        F.col("order_date"), p.fx_broadcast)
     return g.select("order_id", "currency", "order_date",
                     F.col("rate_is_carried").alias("quoted_on"), "rate_to_usd")
 

@@ -19,21 +19,26 @@ from tessera.types import (COUNTRY_NAME, UNALLOCATED, UNKNOWN_COUNTRY,
 SUM_MONEY = "decimal(29,4)"
 
 
-def priced(df: DataFrame, fx: DataFrame, date_col) -> DataFrame:
+def priced(df: DataFrame, fx: DataFrame, date_col, broadcast: bool | None = None) -> DataFrame:
     """LEFT join to the dense FX grid on (currency, day): an unpriceable row
     is kept with NULL rate (and caught by the not-null contract).  The grid is
-    days x currencies -- broadcast once its row count is proven small."""
-    g = broadcast_if_small(fx.select(
+    days x currencies -- broadcast once its row count is proven small
+    (``broadcast``: a decision already taken by the caller; None = probe)."""
+    g = fx.select(
         F.col("currency").alias("_fx_currency"), F.col("rate_date").alias("_fx_date"),
-        "rate_to_usd", "rate_is_carried"))
+        "rate_to_usd", "rate_is_carried")
+    if broadcast is None:
+        g = broadcast_if_small(g)
+    elif broadcast:
+        g = F.broadcast(g)
     j = df.join(g, (df["currency"] == g["_fx_currency"]) & (date_col == g["_fx_date"]), "left")
     return j.drop("_fx_currency", "_fx_date")
 
 
-def fct_orders(silver_orders: DataFrame, fx: DataFrame) -> DataFrame:
+def fct_orders(silver_orders: DataFrame, fx: DataFrame, fx_broadcast: bool | None = None) -> DataFrame:
     o = silver_orders.select("order_id", "customer_id", "product_id", "order_date", "channel",
                              "status", "currency", "quantity", "unit_price", "amount")
-    j = priced(o, fx, F.col("order_date").cast("date"))
+    j = priced(o, fx, F.col("order_date").cast("date"), fx_broadcast)
     return j.select("order_id", "customer_id", "product_id", "order_date", "channel", "status",
                     "currency", "quantity", "unit_price", "amount", "rate_to_usd",
                     "rate_is_carried", usd_amount("amount", "rate_to_usd").alias("amount_usd"))
@@ -52,7 +57,8 @@ def party_lookup(party: DataFrame) -> DataFrame:
                  .filter(F.col("_k").isNotNull()))
 
 
-def sales_lines(silver_orders: DataFrame, web_lines: DataFrame, fx: DataFrame) -> DataFrame:
+def sales_lines(silver_orders: DataFrame, web_lines: DataFrame, fx: DataFrame,
+                fx_broadcast: bool | None = None) -> DataFrame:
     """Both selling systems at line grain, priced in USD, before identity:
     each line carries how its system names the buyer (``_sys``, ``_k``).
     The POS side is ``fct_orders`` without its FX columns (a pure left join
@@ -81,7 +87,7 @@ def sales_lines(silver_orders: DataFrame, web_lines: DataFrame, fx: DataFrame) -
         "amount",
         "currency",
     )
-    j = priced(pos.unionByName(web), fx, F.col("order_date"))
+    j = priced(pos.unionByName(web), fx, F.col("order_date"), fx_broadcast)
     return j.withColumn("amount_usd", usd_amount("amount", "rate_to_usd"))
 
 

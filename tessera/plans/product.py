@@ -72,15 +72,26 @@ class Product:
     def silver_party(self) -> DataFrame:
         return silver.party(self.silver_customers, self.silver_web_customers)
 
+    @cached_property
+    def fx_broadcast(self) -> bool:
+        """Is the dense FX grid small enough to broadcast?  Decided once, from
+        its exact row count (computed from the quotes, not by building it)."""
+        from tessera.operators.asof import carry_forward_rows
+        from tessera.operators.joins import BROADCAST_MAX_ROWS
+        if "silver_fx_daily" in getattr(self, "_written", {}):
+            return self.silver_fx_daily.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
+        quotes = silver.fx_quotes(self._fx_bronze())
+        return carry_forward_rows(quotes, "currency", "rate_date") <= BROADCAST_MAX_ROWS
+
     # gold -------------------------------------------------------------------
     @cached_property
     def fct_orders(self) -> DataFrame:
-        return gold.fct_orders(self.silver_orders, self.silver_fx_daily)
+        return gold.fct_orders(self.silver_orders, self.silver_fx_daily, self.fx_broadcast)
 
     @cached_property
     def sales_lines(self) -> DataFrame:
         return gold.sales_lines(self.silver_orders, self.silver_web_order_lines,
-                                self.silver_fx_daily)
+                                self.silver_fx_daily, self.fx_broadcast)
 
     @cached_property
     def fct_sales(self) -> DataFrame:

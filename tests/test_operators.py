@@ -140,3 +140,13 @@ def test_resolve_parties(spark):
     assert None in p and not p[None].in_web                # NULL web e-mail: NULL key, not in_web
     c = cohorts(resolve_parties(pos, web)).collect()[0]
     assert (c.parties, c.matched, c.pos_only, c.web_only, c.no_email) == (6, 1, 3, 1, 2)
+
+
+def test_carry_forward_rows_is_exact(spark):
+    from tessera.operators.asof import carry_forward_rows
+    q = spark.createDataFrame([
+        ("USD", D(2026, 7, 3), Decimal("1.0")), ("USD", D(2026, 7, 6), Decimal("1.0")),
+        ("EUR", D(2026, 7, 5), Decimal("1.08")), ("SGD", D(2026, 7, 1), Decimal("0.74"))],
+        "currency string, rate_date date, rate_to_usd decimal(19,6)")
+    assert carry_forward_rows(q, "currency", "rate_date") == \
+        carry_forward(q, "currency", "rate_date", ["rate_to_usd"]).count() == 4 + 2 + 6
