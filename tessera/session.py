@@ -22,6 +22,30 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(largest_shuffle_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run, sized from the largest shuffle (for this
+    product: the priced sales lines, about the size of the line items).
+
+    AQE starts from enough shuffle partitions that none exceeds
+    ``partition_bytes`` and coalesces small ones back; scans split files at
+    ``partition_bytes``; skewed partitions above 4x the median (and 256 MB)
+    are split; dimension-sized sides up to 64 MB are broadcast by measured
+    size.  The checkpoint folder must be set by the cluster
+    (``spark.checkpoint.dir``) -- it is never chosen here.
+    """
+    n = max(200, -(-largest_shuffle_bytes // partition_bytes))
+    return {
+        **DEFAULT_CONF,
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "tessera", extra: dict | None = None) -> SparkSession:
     """Build (or return) a session with the library's settings."""
