@@ -24,8 +24,7 @@ from tessera.plans.snapshot import measures, reconcile, snapshot
 from tessera.session import scratch_path
 from tessera.sources import landing
 from tessera.sources.testdata import TestData
-from tessera.types import (POS_ORDERS_SCHEMA, WEB_CUSTOMER_DDL, WEB_ORDER_DDL,
-                           WEB_PRODUCT_DDL)
+from tessera.types import POS_ORDERS_SCHEMA, WEB_ORDER_DDL
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -522,4 +521,4 @@ def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
 
 
-__all__ = ["queries", "oracle_sql", "QUERIES", "ORACLE", "WEB_CUSTOMER_DDL", "WEB_PRODUCT_DDL"]
+__all__ = ["queries", "oracle_sql", "QUERIES", "ORACLE"]

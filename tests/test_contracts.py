@@ -1,6 +1,5 @@
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from tessera.operators.contracts import (Check, bronze_contract_breaches, evaluate,
                                          money_type_offenders)

@@ -1,7 +1,6 @@
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from tessera.functions.conform import conform_country, norm_email, usd_amount
 from tessera.functions.dates import date_spine, fiscal_columns, utc_date
