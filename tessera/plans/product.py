@@ -12,8 +12,9 @@ from tessera.sources.testdata import TestData
 
 
 class Product:
-    def __init__(self, bronze: dict[str, DataFrame]):
+    def __init__(self, bronze, spark: SparkSession | None = None):
         self.bronze = bronze
+        self._spark = spark
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Product":
@@ -21,7 +22,7 @@ class Product:
         file in production -- is landed once (written to the shared folder) so
         that its several readers scan a small table instead of re-deriving it
         from the orders."""
-        p = cls(TestData(spark, sf_dir).bronze())
+        p = cls(TestData(spark, sf_dir).bronze(), spark)
         p._land_fx = True
         return p
 
@@ -141,7 +142,9 @@ class Product:
 
     @property
     def spark(self) -> SparkSession:
-        return next(iter(self.bronze.values())).sparkSession
+        if self._spark is None:
+            self._spark = self.bronze[next(iter(self.bronze))].sparkSession
+        return self._spark
 
     def materialize(self, *names: str, fmt: str = "parquet") -> "Product":
         """Write the named models once to the shared folder and read them back.

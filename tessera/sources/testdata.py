@@ -23,6 +23,7 @@ make anything cheaper: every line item reaches exactly one system.
 
 from __future__ import annotations
 
+from collections.abc import Callable, MutableMapping
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -249,15 +250,43 @@ class TestData:
             F.col("ts").alias("changed_at"),
         )
 
-    def bronze(self) -> dict[str, DataFrame]:
-        """All bronze feeds by their bronze table name."""
-        return {
-            "bronze_pos_customers": self.pos_customers(),
-            "bronze_pos_orders": self.pos_orders(),
-            "bronze_web_customers": self.web_customers(),
-            "bronze_web_products": self.web_products(),
-            "bronze_web_orders": self.web_orders(),
-            "bronze_ref_fx_rates": self.fx_rates(),
-            "bronze_ref_product_hierarchy": self.product_hierarchy(),
-            "bronze_erp_customer_changes": self.erp_changes(),
-        }
+    def bronze(self) -> "LazyFeeds":
+        """All bronze feeds by their bronze table name, each built (planned)
+        on first access only."""
+        return LazyFeeds({
+            "bronze_pos_customers": self.pos_customers,
+            "bronze_pos_orders": self.pos_orders,
+            "bronze_web_customers": self.web_customers,
+            "bronze_web_products": self.web_products,
+            "bronze_web_orders": self.web_orders,
+            "bronze_ref_fx_rates": self.fx_rates,
+            "bronze_ref_product_hierarchy": self.product_hierarchy,
+            "bronze_erp_customer_changes": self.erp_changes,
+        })
+
+
+class LazyFeeds(MutableMapping):
+    """name -> DataFrame, where each DataFrame is built on first lookup."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = dict(builders)
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __setitem__(self, name: str, df: DataFrame) -> None:
+        self._builders.setdefault(name, lambda: df)
+        self._built[name] = df
+
+    def __delitem__(self, name: str) -> None:
+        self._builders.pop(name, None)
+        self._built.pop(name, None)
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
