@@ -109,7 +109,15 @@ def run_bronze(run: Run, landing_dir: str, day: str) -> dict:
         run.save(df, name)
     bronze = {n: run.read(n) for n in feeds}
     breaches = bronze_contract_breaches({n: d.columns for n, d in bronze.items()}, BRONZE_CONTRACT)
-    metrics = run.save_metrics(bronze_metrics(bronze), "bronze_ingest_metrics")
+    # pages of JSON arrays that did not parse land no rows: count them
+    malformed = [
+        landing.read_json_array(run.spark, os.path.join(landing_dir, LANDING[n][0], day), _DDL[n],
+                                with_page_status=True)
+        .agg(F.count_if(F.col("records").isNull()).cast("bigint").alias("value"))
+        .select(F.lit(f"{n}_malformed_pages").alias("metric"), "value")
+        for n in feeds if LANDING[n][1] == "json_array"]
+    from tessera.operators.profile import union_all
+    metrics = run.save_metrics(union_all([bronze_metrics(bronze), *malformed]), "bronze_ingest_metrics")
     return {"rows": {n: run.rows[n] for n in feeds}, "metrics": metrics,
             "contract_breaches": breaches}
 

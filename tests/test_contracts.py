@@ -103,3 +103,20 @@ def test_reconcile(spark):
     assert not r["zeros"].has_evidence and not r["zeros"].ok
     assert not r["other"].agrees_with_base
     assert r["failing"].agrees_with_base and not r["failing"].ok
+
+
+def test_quantity_fiscal_country_negative_controls(spark):
+    import datetime as dt
+    orders = spark.createDataFrame([("O1", 2), ("O2", 0), ("O3", None)], "order_id string, quantity bigint")
+    q = K.quantity_positive(_P(silver_orders=orders)).collect()[0]
+    assert (q.checked, q.violations) == (3, 2)
+    dd = spark.createDataFrame([(dt.date(2026, 7, 1), 2026, 7, 2027), (dt.date(2026, 8, 1), 2026, 8, 2026),
+                                (dt.date(2026, 2, 1), 2026, 2, 2026)],
+                               "date_key date, calendar_year int, calendar_month int, fiscal_year int")
+    f = K.fiscal_not_calendar(_P(dim_date=dd)).collect()[0]
+    assert (f.checked, f.violations) == (2, 1)
+    c = lambda rows: spark.createDataFrame(rows, "country string")
+    got = {r.country: r.resolves for r in K.countries_resolve(_P(
+        dim_party=c([("US",), (None,)]), dim_customer=c([("GB",)]), fct_daily_revenue=c([("FR",)]),
+        dim_country=c([("US",), ("GB",)]))).collect()}
+    assert got == {"US": True, "GB": True, "FR": False}
