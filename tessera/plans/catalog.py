@@ -76,6 +76,21 @@ def bronze_json_lines(spark, sf_dir):
     return landing.read_json_lines(spark, path, POS_ORDERS_SCHEMA)
 
 
+@query("bronze_stream_ingest", W("SELECT * FROM bronze_pos_orders", ["bronze_pos_orders"]))
+def bronze_stream_ingest(spark, sf_dir):
+    """The POS order feed landed in a day folder and ingested by the
+    ``availableNow`` stream (checkpointed); returns the streamed bronze table."""
+    import os
+
+    from tessera.streaming import ingest_feed
+    root = scratch_path(spark, "stream")
+    feed = os.path.join(root, "landing/pos/orders")
+    landing.write_json_lines(TestData(spark, sf_dir).pos_orders(), os.path.join(feed, "2026-07-01"))
+    bronze = os.path.join(root, "bronze/pos_orders")
+    ingest_feed(spark, feed, "json_lines", POS_ORDERS_SCHEMA, bronze, os.path.join(root, "checkpoint"))
+    return spark.read.schema(POS_ORDERS_SCHEMA).parquet(bronze)
+
+
 @query("bronze_json_array", W(
     "SELECT web_order_id, email, placed_at, status, CAST(1 AS INTEGER) AS n_lines, "
     "quantity AS first_line_quantity, unit_price AS first_line_unit_price FROM bronze_web_order_rows",
