@@ -8,7 +8,7 @@ the parquet scans to the gold aggregate.  Sub-packages:
 * ``operators`` -- DataFrame -> DataFrame building blocks (dedupe, quarantine,
                    as-of carry-forward, identity resolution, contracts, profiles)
 * ``plans``     -- the silver and gold models, snapshot/reconcile, the
-                   pipeline writer and the registered query catalogue
+                   full build (every layer written) and the registered query catalogue
 * ``streaming`` -- incremental landing ingest as an ``availableNow`` stream
 """
 

@@ -1 +1 @@
-"""Models (silver, gold), contracts, snapshots, the pipeline and the query catalogue."""
+"""Models (silver, gold), contracts, snapshots, the full build and the query catalogue."""

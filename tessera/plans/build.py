@@ -1,4 +1,4 @@
-"""The pipeline: landing -> bronze -> silver -> gold -> contracts -> snapshot,
+"""The full build: landing -> bronze -> silver -> gold -> contracts -> snapshot,
 written as tables under one root.
 
 Every save records its row count with an ``Observation`` collected during
@@ -175,5 +175,5 @@ if __name__ == "__main__":
 
     from tessera.session import get_spark, scratch_path
     spark = get_spark()
-    root = sys.argv[2] if len(sys.argv) > 2 else scratch_path(spark, "pipeline")
+    root = sys.argv[2] if len(sys.argv) > 2 else scratch_path(spark, "build")
     print(json.dumps(run_all(spark, sys.argv[1], root), default=str, indent=1))

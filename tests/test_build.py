@@ -1,12 +1,12 @@
-from tessera.plans.pipeline import run_all
+from tessera.plans.build import run_all
 from tessera.session import scratch_path
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_pipeline_end_to_end(spark):
+def test_full_build_end_to_end(spark):
     import __spark_entry__ as entry
-    out = run_all(spark, SF, scratch_path(spark, "test/pipeline"))
+    out = run_all(spark, SF, scratch_path(spark, "test/build"))
     assert out["bronze"]["contract_breaches"] == []
     b = out["bronze"]["rows"]
     assert b["bronze_pos_customers"] == out["bronze"]["metrics"]["bronze_pos_customers"] > 0
@@ -17,7 +17,7 @@ def test_pipeline_end_to_end(spark):
     snap = out["gold"]["snapshot"]
     assert "contract_failures" not in snap, snap
     assert len(snap["contracts"]) == 66
-    # the written pipeline publishes the same figures as the lazy query
+    # the written build publishes the same figures as the lazy query
     q = entry.queries()["product_snapshot"](spark, SF).collect()[0]
     assert snap["revenue_usd"] == str(q.revenue_usd) and snap["sale_lines"] == str(q.sale_lines)
     assert ("write", "fct_sales") in out["lineage"] and ("read", "fct_sales") in out["lineage"]
