@@ -120,3 +120,13 @@ def test_quantity_fiscal_country_negative_controls(spark):
         dim_party=c([("US",), (None,)]), dim_customer=c([("GB",)]), fct_daily_revenue=c([("FR",)]),
         dim_country=c([("US",), ("GB",)]))).collect()}
     assert got == {"US": True, "GB": True, "FR": False}
+
+
+def test_fused_unique_pass_counts_like_separate_checks(spark):
+    df = spark.createDataFrame([("a", None, "US"), ("a", "x", "FR"), ("b", None, "GB"), (None, "y", None),
+                                (None, None, "XX"), ("c", "z", "US")], "k string, v string, c string")
+    checks = [Check("t", "k", "unique"), Check("t", "k", "not_null"), Check("t", "v", "not_null"),
+              Check("t", "c", "accepted_values", ("US", "GB")), Check("t", "v", "unique")]
+    got = {r.contract: r.failures for r in evaluate({"t": df}.__getitem__, checks).collect()}
+    assert got == {"unique_t_k": 1, "not_null_t_k": 2, "not_null_t_v": 3,
+                   "accepted_values_t_c": 2, "unique_t_v": 0}
