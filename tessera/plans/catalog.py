@@ -20,7 +20,8 @@ from tessera.plans import contract_suite as K
 from tessera.plans import gold, oracle, silver
 from tessera.plans.product import Product
 from tessera.plans.profiles import bronze_metrics, silver_metrics
-from tessera.plans.snapshot import measures, reconcile, snapshot
+from tessera.plans.snapshot import (SLICERS, measures, measures_match_snapshot, reconcile,
+                                    snapshot)
 from tessera.session import scratch_path
 from tessera.sources import landing
 from tessera.sources.testdata import TestData
@@ -344,6 +345,28 @@ def product_snapshot(spark, sf_dir):
     return snapshot(_ps(spark, sf_dir).fct_revenue_summary)
 
 
+_PER_SLICER_SQL = "\n  UNION ALL ".join(
+    f"SELECT '{s}' AS slicer, CAST(sum(r) AS DECIMAL(29,4)) AS revenue_usd, "
+    f"CAST(sum(c) AS DECIMAL(29,4)) AS cancelled_revenue_usd, CAST(sum(n) AS BIGINT) AS sale_lines "
+    f"FROM (SELECT {s}, sum(revenue_usd) AS r, sum(cancelled_revenue_usd) AS c, sum(sale_lines) AS n "
+    f"FROM fct_revenue_summary GROUP BY {s})"
+    for s in SLICERS)
+
+
+@query("measures_match_snapshot", W(f"""
+SELECT per.slicer, per.revenue_usd, per.cancelled_revenue_usd, per.sale_lines,
+       snap.revenue_usd AS snapshot_revenue_usd,
+       snap.cancelled_revenue_usd AS snapshot_cancelled_revenue_usd,
+       snap.sale_lines AS snapshot_sale_lines,
+       (per.revenue_usd IS NOT DISTINCT FROM snap.revenue_usd
+        AND per.cancelled_revenue_usd IS NOT DISTINCT FROM snap.cancelled_revenue_usd
+        AND per.sale_lines IS NOT DISTINCT FROM snap.sale_lines) AS agrees
+FROM ({_PER_SLICER_SQL}) per, ({_SNAPSHOT_SQL}) snap""", ["fct_revenue_summary"]))
+def measures_match_snapshot_query(spark, sf_dir):
+    """K14: each measure, sliced by each slicer, adds up to its snapshot figure."""
+    return measures_match_snapshot(_ps(spark, sf_dir).fct_revenue_summary)
+
+
 @query("reconcile_builds", W(f"""
 SELECT b.build, s.revenue_usd, s.cancelled_revenue_usd, s.sale_lines, CAST(0 AS BIGINT) AS contract_failures,
        true AS has_evidence, true AS agrees_with_base, true AS ok

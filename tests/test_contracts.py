@@ -130,3 +130,24 @@ def test_fused_unique_pass_counts_like_separate_checks(spark):
     got = {r.contract: r.failures for r in evaluate({"t": df}.__getitem__, checks).collect()}
     assert got == {"unique_t_k": 1, "not_null_t_k": 2, "not_null_t_v": 3,
                    "accepted_values_t_c": 2, "unique_t_v": 0}
+
+
+def test_measures_match_snapshot(spark):
+    """K14: every slicer's members add up to the snapshot, NULL members and
+    NULL measure values included; an empty summary agrees NULL-safely."""
+    from tessera.plans.snapshot import SLICERS, measures_match_snapshot
+    ddl = ("fiscal_year_label string, customer_segment string, product_segment string, "
+           "channel_system string, revenue_usd decimal(29,4), cancelled_revenue_usd decimal(29,4), "
+           "sale_lines bigint")
+    rows = [("FY27", "new", "Core", "POS", Decimal("10.0001"), Decimal("0"), 3),
+            ("FY27", None, "Core", "WEB", Decimal("5"), Decimal("2.5"), 2),
+            ("FY28", "value", None, "WEB", None, Decimal("1"), 1)]
+    got = measures_match_snapshot(spark.createDataFrame(rows, ddl)).collect()
+    assert sorted(r.slicer for r in got) == sorted(SLICERS)
+    for r in got:
+        assert (r.revenue_usd, r.cancelled_revenue_usd, r.sale_lines) == \
+            (Decimal("15.0001"), Decimal("3.5"), 6)
+        assert (r.snapshot_revenue_usd, r.snapshot_sale_lines) == (Decimal("15.0001"), 6)
+        assert r.agrees is True
+    empty = measures_match_snapshot(spark.createDataFrame([], ddl)).collect()
+    assert len(empty) == len(SLICERS) and all(r.agrees and r.sale_lines is None for r in empty)
