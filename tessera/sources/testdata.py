@@ -27,8 +27,7 @@ from collections.abc import Callable, MutableMapping
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tessera.types import MONEY
 
@@ -58,36 +57,49 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def country_spelling(k: Column) -> Column:
-    s = F.element_at(F.array(*[F.lit(x) for x in COUNTRY_SPELLINGS]), (k % 12 + 1).cast("int"))
-    s = F.when(k % 5 == 0, F.lower(s)).otherwise(s)
-    return F.when(k % 7 == 0, F.concat(F.lit(" "), s, F.lit(" "))).otherwise(s)
+# The derivations are written as Spark SQL expressions (``selectExpr``): each
+# feed is then a few calls to the JVM instead of one per Column node, which
+# is most of the driver-side planning time of a query.  The expressions mean
+# the same as the oracle's (integer arithmetic, explicit DOUBLE literals).
+def _lit(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
 
 
-def pos_email(k: Column) -> Column:
-    ks = k.cast("string")
-    return (F.when(k % 31 == 0, F.lit(None).cast("string"))
-             .when(k % 3 == 0, F.concat(F.lit(" User"), ks, F.lit("@Example.COM ")))
-             .otherwise(F.concat(F.lit("user"), ks, F.lit("@example.com"))))
+def _array(values) -> str:
+    return "array(" + ", ".join(_lit(v) for v in values) + ")"
 
 
-def web_email(k: Column) -> Column:
-    ks = k.cast("string")
-    return (F.when(k % 4 == 3, F.concat(F.lit("shopper"), ks, F.lit("@example.com")))
-             .when(k % 7 == 0, F.concat(F.lit("user"), ks, F.lit("@example.com")))
-             .otherwise(F.concat(F.lit("User"), ks, F.lit("@Example.com"))))
+def country_spelling(k: str) -> str:
+    s = f"element_at({_array(COUNTRY_SPELLINGS)}, CAST({k} % 12 + 1 AS INT))"
+    s = f"CASE WHEN {k} % 5 = 0 THEN lower({s}) ELSE {s} END"
+    return f"CASE WHEN {k} % 7 = 0 THEN concat(' ', {s}, ' ') ELSE {s} END"
 
 
-def has_web_account(k: Column) -> Column:
-    return k % 5 != 0
+def pos_email(k: str) -> str:
+    ks = f"CAST({k} AS STRING)"
+    return (f"CASE WHEN {k} % 31 = 0 THEN CAST(NULL AS STRING) "
+            f"WHEN {k} % 3 = 0 THEN concat(' User', {ks}, '@Example.COM ') "
+            f"ELSE concat('user', {ks}, '@example.com') END")
 
 
-def _case(col: Column, mapping: dict, default) -> Column:
-    items = list(mapping.items())
-    e = F.when(col == F.lit(items[0][0]), F.lit(items[0][1]))
-    for a, b in items[1:]:
-        e = e.when(col == F.lit(a), F.lit(b))
-    return e.otherwise(F.lit(default))
+def web_email(k: str) -> str:
+    ks = f"CAST({k} AS STRING)"
+    return (f"CASE WHEN {k} % 4 = 3 THEN concat('shopper', {ks}, '@example.com') "
+            f"WHEN {k} % 7 = 0 THEN concat('user', {ks}, '@example.com') "
+            f"ELSE concat('User', {ks}, '@Example.com') END")
+
+
+def has_web_account(k: str) -> str:
+    return f"{k} % 5 <> 0"
+
+
+def _case(col: str, mapping: dict, default: str) -> str:
+    whens = " ".join(f"WHEN {col} = {_lit(a)} THEN {_lit(b)}" for a, b in mapping.items())
+    return f"CASE {whens} ELSE {_lit(default)} END"
+
+
+def _key(prefix: str, col: str) -> str:
+    return f"concat('{prefix}', CAST({col} AS STRING))"
 
 
 @dataclass
@@ -99,7 +111,12 @@ class TestData:
     __test__ = False  # not a pytest class
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        """Each table is opened (listed, footer read) once per adapter; every
+        feed that uses it starts from the same relation."""
+        tables = self.__dict__.setdefault("_tables", {})
+        if name not in tables:
+            tables[name] = read_table(self.spark, self.sf_dir, name)
+        return tables[name]
 
     @cached_property
     def _lines(self) -> DataFrame:
@@ -121,142 +138,122 @@ class TestData:
         li = li.repartition("l_orderkey")
         return li.join(o, li.l_orderkey == o.o_orderkey)
 
-    @staticmethod
-    def _is_web_order(orderkey: Column, custkey: Column) -> Column:
-        return (orderkey % 2 == 1) & has_web_account(custkey)
+    # every line item is in exactly one system
+    WEB_ORDER = f"o_orderkey % 2 = 1 AND {has_web_account('o_custkey')}"
 
     # -- POS ---------------------------------------------------------------
     def pos_customers(self) -> DataFrame:
         c = self.table("customer")
-        k = F.col("c_custkey")
-
-        def shape(rows: DataFrame, name: Column) -> DataFrame:
-            return rows.select(
-                F.concat(F.lit("C"), k.cast("string")).alias("customer_id"),
-                name.alias("name"),
-                pos_email(k).alias("email"),
-                country_spelling(k).alias("country"),
-                _case(F.col("c_mktsegment"), SEGMENT_OF_MKTSEGMENT, "new").alias("marketing_segment"),
-                (F.when(F.col("c_acctbal") < 0, "basic")
-                  .when(F.col("c_acctbal") < 3000, "bronze")
-                  .when(F.col("c_acctbal") < 7000, "silver")
-                  .otherwise("gold")).alias("loyalty_tier"),
-                F.col("c_nationkey").cast("string").alias("nation_key"),
+
+        def shape(rows: DataFrame, name: str) -> DataFrame:
+            return rows.selectExpr(
+                f"{_key('C', 'c_custkey')} AS customer_id",
+                f"{name} AS name",
+                f"{pos_email('c_custkey')} AS email",
+                f"{country_spelling('c_custkey')} AS country",
+                f"{_case('c_mktsegment', SEGMENT_OF_MKTSEGMENT, 'new')} AS marketing_segment",
+                "CASE WHEN c_acctbal < 0 THEN 'basic' WHEN c_acctbal < 3000 THEN 'bronze' "
+                "WHEN c_acctbal < 7000 THEN 'silver' ELSE 'gold' END AS loyalty_tier",
+                "CAST(c_nationkey AS STRING) AS nation_key",
             )
-        landed = shape(c, F.col("c_name"))
-        resent = shape(c.filter(k % 50 == 0), F.upper(F.col("c_name")))
+        landed = shape(c, "c_name")
+        resent = shape(c.filter("c_custkey % 50 = 0"), "upper(c_name)")
         return landed.unionByName(resent)
 
     def pos_orders(self) -> DataFrame:
-        x = self._lines.filter(~self._is_web_order(F.col("o_orderkey"), F.col("o_custkey")))
-        m = (F.col("l_orderkey") + F.col("l_linenumber")) % 40
-        q = F.floor(F.col("l_quantity")).cast("bigint")
-        return x.select(
-            F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("order_id"),
-            F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("customer_id"),
-            F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("product_id"),
-            F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"),
-            F.when(F.col("l_suppkey") % 4 == 0, "kiosk").otherwise("counter").alias("channel"),
-            F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("store_id"),
-            F.element_at(F.array(*[F.lit(c) for c in CURRENCIES]),
-                         (F.col("o_custkey") % 4 + 1).cast("int")).alias("currency"),
-            F.col("l_discount").alias("discount_pct"),
-            F.col("l_tax").alias("tax_rate"),
-            F.when(F.col("l_returnflag") == "R", F.lit(0.0)).otherwise(F.lit(4.99)).alias("shipping_fee"),
-            F.when(F.substring("o_orderpriority", 1, 1).isin("1", "2"), "card")
-             .otherwise("cash").alias("payment_method"),
-            (F.col("l_returnflag") == "A").alias("is_gift"),
-            F.when(F.col("l_discount") >= 0.08, F.lit("PROMO8")).alias("promo_code"),
-            (F.when(m == 0, F.lit(0).cast("bigint"))
-              .when(m == 1, -q)
-              .when(m == 3, F.lit(None).cast("bigint"))
-              .otherwise(q)).alias("quantity"),
-            F.when(m == 2, F.lit(None).cast("double")).otherwise(F.col("l_extendedprice")).alias("unit_price"),
-            _case(F.col("o_orderstatus"), {"F": "shipped", "O": "pending"}, "error").alias("status"),
-            F.col("l_linenumber").cast("bigint").alias("event_seq"),
+        x = self._lines.filter(f"NOT ({self.WEB_ORDER})")
+        m = "((l_orderkey + l_linenumber) % 40)"
+        q = "CAST(floor(l_quantity) AS BIGINT)"
+        return x.selectExpr(
+            f"{_key('O', 'o_orderkey')} AS order_id",
+            f"{_key('C', 'o_custkey')} AS customer_id",
+            f"{_key('P', 'l_partkey')} AS product_id",
+            "date_format(o_orderdate, 'yyyy-MM-dd') AS order_date",
+            "CASE WHEN l_suppkey % 4 = 0 THEN 'kiosk' ELSE 'counter' END AS channel",
+            f"{_key('S', 'l_suppkey')} AS store_id",
+            f"element_at({_array(CURRENCIES)}, CAST(o_custkey % 4 + 1 AS INT)) AS currency",
+            "l_discount AS discount_pct",
+            "l_tax AS tax_rate",
+            "CASE WHEN l_returnflag = 'R' THEN 0.0D ELSE 4.99D END AS shipping_fee",
+            "CASE WHEN substring(o_orderpriority, 1, 1) IN ('1', '2') THEN 'card' ELSE 'cash' END "
+            "AS payment_method",
+            "l_returnflag = 'A' AS is_gift",
+            "CASE WHEN l_discount >= 0.08D THEN 'PROMO8' END AS promo_code",
+            f"CASE WHEN {m} = 0 THEN CAST(0 AS BIGINT) WHEN {m} = 1 THEN -{q} "
+            f"WHEN {m} = 3 THEN CAST(NULL AS BIGINT) ELSE {q} END AS quantity",
+            f"CASE WHEN {m} = 2 THEN CAST(NULL AS DOUBLE) ELSE l_extendedprice END AS unit_price",
+            f"{_case('o_orderstatus', {'F': 'shipped', 'O': 'pending'}, 'error')} AS status",
+            "CAST(l_linenumber AS BIGINT) AS event_seq",
         )
 
     # -- web storefront ------------------------------------------------------
     def web_customers(self) -> DataFrame:
-        c = self.table("customer")
-        k = F.col("c_custkey")
-        return c.filter(has_web_account(k)).select(
-            web_email(k).alias("email"),
-            F.col("c_name").alias("full_name"),
-            country_spelling(k).alias("country"),
-            F.concat(F.lit("2019-"), F.lpad((k % 12 + 1).cast("string"), 2, "0"),
-                     F.lit("-15T09:00:00Z")).alias("signup_ts"),
+        return self.table("customer").filter(has_web_account("c_custkey")).selectExpr(
+            f"{web_email('c_custkey')} AS email",
+            "c_name AS full_name",
+            f"{country_spelling('c_custkey')} AS country",
+            "concat('2019-', lpad(CAST(c_custkey % 12 + 1 AS STRING), 2, '0'), '-15T09:00:00Z') "
+            "AS signup_ts",
         )
 
     def web_orders(self) -> DataFrame:
-        x = self._lines.filter(self._is_web_order(F.col("o_orderkey"), F.col("o_custkey")))
-        d = F.date_format("o_orderdate", "yyyy-MM-dd")
-        line = F.struct(
-            F.col("l_linenumber").cast("int").alias("line_no"),
-            F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("product_id"),
-            F.floor(F.col("l_quantity")).cast("int").alias("quantity"),
-            F.col("l_extendedprice").cast(MONEY).alias("unit_price"),
-        )
-        return x.select(
-            F.concat(F.lit("W"), F.col("o_orderkey").cast("string")).alias("web_order_id"),
-            web_email(F.col("o_custkey")).alias("email"),
-            F.when(F.col("o_orderkey") % 3 == 0, F.concat(d, F.lit("T03:30:00+08:00")))
-             .otherwise(F.concat(d, F.lit("T12:00:00+00:00"))).alias("placed_at"),
-            F.when(F.col("o_orderkey") % 20 == 1, "cancelled").otherwise("completed").alias("status"),
-            F.array(line).alias("lines"),
+        x = self._lines.filter(self.WEB_ORDER)
+        d = "date_format(o_orderdate, 'yyyy-MM-dd')"
+        line = (f"named_struct('line_no', CAST(l_linenumber AS INT), "
+                f"'product_id', {_key('P', 'l_partkey')}, "
+                f"'quantity', CAST(floor(l_quantity) AS INT), "
+                f"'unit_price', CAST(l_extendedprice AS {MONEY}))")
+        return x.selectExpr(
+            f"{_key('W', 'o_orderkey')} AS web_order_id",
+            f"{web_email('o_custkey')} AS email",
+            f"CASE WHEN o_orderkey % 3 = 0 THEN concat({d}, 'T03:30:00+08:00') "
+            f"ELSE concat({d}, 'T12:00:00+00:00') END AS placed_at",
+            "CASE WHEN o_orderkey % 20 = 1 THEN 'cancelled' ELSE 'completed' END AS status",
+            f"array({line}) AS lines",
         )
 
     def web_products(self) -> DataFrame:
-        return self.table("part").select(
-            F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("product_id"),
-            F.col("p_name").alias("title"),
-            F.col("p_retailprice").cast(MONEY).alias("list_price"),
+        return self.table("part").selectExpr(
+            f"{_key('P', 'p_partkey')} AS product_id",
+            "p_name AS title",
+            f"CAST(p_retailprice AS {MONEY}) AS list_price",
         )
 
     # -- reference data --------------------------------------------------------
     def product_hierarchy(self) -> DataFrame:
-        p = self.table("part")
-        t = F.col("p_type")
-        return p.filter(F.col("p_partkey") % 50 != 7).select(
-            F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("product_id"),
-            F.col("p_name").alias("product_name"),
-            t.alias("category"),
-            F.when(t.isin("ECONOMY", "STANDARD"), "Essentials")
-             .when(t.isin("LARGE", "MEDIUM"), "Home")
-             .otherwise("Accessories").alias("department"),
-            F.when(t.isin("PROMO", "SMALL"), "Peripheral").otherwise("Core").alias("segment"),
-            F.col("p_retailprice").alias("list_price_usd"),
+        return self.table("part").filter("p_partkey % 50 <> 7").selectExpr(
+            f"{_key('P', 'p_partkey')} AS product_id",
+            "p_name AS product_name",
+            "p_type AS category",
+            "CASE WHEN p_type IN ('ECONOMY', 'STANDARD') THEN 'Essentials' "
+            "WHEN p_type IN ('LARGE', 'MEDIUM') THEN 'Home' ELSE 'Accessories' END AS department",
+            "CASE WHEN p_type IN ('PROMO', 'SMALL') THEN 'Peripheral' ELSE 'Core' END AS segment",
+            "p_retailprice AS list_price_usd",
         )
 
     def fx_rates(self) -> DataFrame:
-        o = self.table("orders")
-        bounds = o.agg(
-            F.date_sub(F.to_date(F.min("o_orderdate")), FX_MARGIN_DAYS).alias("lo"),
-            F.date_add(F.to_date(F.max("o_orderdate")), FX_MARGIN_DAYS).alias("hi"))
-        plan = F.array(*[
-            F.struct(F.lit(c).alias("currency"), F.lit(a).alias("a"), F.lit(b).alias("b"),
-                     F.lit(bp).alias("bp"))
-            for c, (a, b, bp) in FX_QUOTE_PLAN.items()])
-        per = bounds.select("lo", "hi", F.explode(plan).alias("p"))
-        days = per.select(
-            F.col("p.currency").alias("currency"), F.col("p.bp").alias("bp"),
-            F.explode(F.sequence(F.date_add("lo", F.col("p.a")),
-                                 F.date_add("hi", F.col("p.b")))).alias("rate_date"))
-        weekday = F.datediff("rate_date", F.lit(MONDAY).cast("date")) % 7 < 5
-        epoch_day = F.unix_date("rate_date")
-        rate = (F.when(F.col("currency") == "USD", F.lit(1.0))
-                 .otherwise((F.col("bp") + epoch_day % 50).cast("double") / F.lit(10000.0)))
-        return days.filter(weekday).select("currency", "rate_date", rate.alias("rate_to_usd"))
+        bounds = self.table("orders").selectExpr(
+            f"date_sub(to_date(min(o_orderdate)), {FX_MARGIN_DAYS}) AS lo",
+            f"date_add(to_date(max(o_orderdate)), {FX_MARGIN_DAYS}) AS hi")
+        plan = "array(" + ", ".join(
+            f"named_struct('currency', {_lit(c)}, 'a', {a}, 'b', {b}, 'bp', {bp})"
+            for c, (a, b, bp) in FX_QUOTE_PLAN.items()) + ")"
+        days = bounds.selectExpr("lo", "hi", f"explode({plan}) AS p").selectExpr(
+            "p.currency AS currency", "p.bp AS bp",
+            "explode(sequence(date_add(lo, p.a), date_add(hi, p.b))) AS rate_date")
+        return days.filter(f"datediff(rate_date, DATE'{MONDAY}') % 7 < 5").selectExpr(
+            "currency", "rate_date",
+            "CASE WHEN currency = 'USD' THEN 1.0D "
+            "ELSE CAST(bp + unix_date(rate_date) % 50 AS DOUBLE) / 10000.0D END AS rate_to_usd")
 
     # -- ERP change feed (landed and counted, read by no model) ---------------
     def erp_changes(self) -> DataFrame:
-        e = self.table("events")
-        return e.select(
-            F.col("event_id").alias("change_id"),
-            F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("customer_id"),
-            F.when(F.col("event_type") == "purchase", "I")
-             .when(F.col("event_type") == "error", "D").otherwise("U").alias("op"),
-            F.col("ts").alias("changed_at"),
+        return self.table("events").selectExpr(
+            "event_id AS change_id",
+            f"{_key('C', 'user_id')} AS customer_id",
+            "CASE WHEN event_type = 'purchase' THEN 'I' WHEN event_type = 'error' THEN 'D' "
+            "ELSE 'U' END AS op",
+            "ts AS changed_at",
         )
 
     def bronze(self) -> "LazyFeeds":
