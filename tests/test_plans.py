@@ -41,3 +41,30 @@ def test_scans_are_pruned(spark):
 def test_fx_grid_is_broadcast(spark):
     plan = _plan(entry.queries()["fct_orders"](spark, SF))
     assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
+
+
+def test_line_items_partitioned_on_order_key_before_the_feeds(spark):
+    """The single-file line-item scan is split by an order-key exchange before
+    the order join and the wide feed projections (the exchange a sort-merge
+    join on the order key needs at volume)."""
+    plan = _plan(entry.queries()["silver_orders"](spark, SF))
+    assert "REPARTITION_BY_COL" in plan and "hashpartitioning(l_orderkey" in plan
+
+
+def test_checks_fold_rows_without_scalar_subqueries(spark):
+    """Reconciliation and K14 compute each snapshot once: their plans hold no
+    scalar subquery (one per figure would re-run the build it reads)."""
+    from decimal import Decimal
+
+    from tessera.plans.snapshot import measures_match_snapshot, reconcile
+    one = Decimal(1)
+    snaps = spark.createDataFrame(
+        [("a", one, one, 1), ("b", one, one, 2)],
+        "build string, revenue_usd decimal(29,4), cancelled_revenue_usd decimal(29,4), sale_lines bigint")
+    summary = spark.createDataFrame(
+        [("FY27", "new", "Core", "POS", one, one, 1)],
+        "fiscal_year_label string, customer_segment string, product_segment string, channel_system string, "
+        "revenue_usd decimal(29,4), cancelled_revenue_usd decimal(29,4), sale_lines bigint")
+    for df in [reconcile(snaps, "a"), measures_match_snapshot(summary)]:
+        df.collect()
+        assert "Subquery" not in _plan(df)
