@@ -125,11 +125,12 @@ class TestData:
         The line items are hash-partitioned on the order key straight after
         the scan, on their narrow raw columns.  At volume that is the
         exchange the join to the orders needs anyway (a sort-merge join on
-        the order key), so it adds no shuffle; the POS and web branches of a
-        query then read ONE reused exchange instead of scanning the line
-        items twice, and the wide string-building projections of both feeds
-        run in as many tasks as there are shuffle partitions even when the
-        source is a single unsplittable file."""
+        the order key), so it adds no shuffle, and the wide string-building
+        projections of both feeds run in as many tasks as there are shuffle
+        partitions even when the source is a single unsplittable file.  Each
+        system's branch keeps its own exchange: the web branch's order-key
+        condition is pushed below it into the scan (it shuffles only its own
+        line items), the POS branch's negated condition cannot be."""
         li = self.table("lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_extendedprice", "l_discount", "l_tax", "l_returnflag")
