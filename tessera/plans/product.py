@@ -31,8 +31,10 @@ class Product:
         if getattr(self, "_land_fx", False):
             from tessera.session import scratch_path
             path = scratch_path(self.spark, "landing/reference/fx_rates")
-            self.bronze["bronze_ref_fx_rates"].write.mode("overwrite").parquet(path)
-            self.bronze["bronze_ref_fx_rates"] = self.spark.read.parquet(path)
+            fx = self.bronze["bronze_ref_fx_rates"]
+            fx.write.mode("overwrite").parquet(path)
+            # read back with the schema just written: no footer-reading job
+            self.bronze["bronze_ref_fx_rates"] = self.spark.read.schema(fx.schema).parquet(path)
             self._land_fx = False
         return self.bronze
 
@@ -160,7 +162,8 @@ class Product:
             if name in self.__dict__ and getattr(self, "_written", {}).get(name):
                 continue
             path = scratch_path(self.spark, f"tables/{name}")
-            self.model(name).write.mode("overwrite").format(fmt).save(path)
-            self.__dict__[name] = self.spark.read.format(fmt).load(path)
+            df = self.model(name)
+            df.write.mode("overwrite").format(fmt).save(path)
+            self.__dict__[name] = self.spark.read.format(fmt).schema(df.schema).load(path)
             self.__dict__.setdefault("_written", {})[name] = path
         return self
