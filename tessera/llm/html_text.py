@@ -153,7 +153,7 @@ def shared_lines(ordered: DataFrame) -> DataFrame:
                     found[k] |= both[1]
         own = (pdf["place"] // RUN == pdf["run"]).to_numpy()
         out = pdf.loc[own, ["id", "url", "page"]]
-        out["shared"] = [f.tolist() for f, mine in zip(found, own, strict=True) if mine]
+        out["shared"] = pd.Series([f.tolist() for f, mine in zip(found, own, strict=True) if mine], index=out.index, dtype=object)
         return out
 
     run, within = F.floor(F.col("place") / RUN), F.col("place") % RUN
