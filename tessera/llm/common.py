@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,11 +32,18 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def arrow_rows(spark: SparkSession, rows: int = 512) -> None:
-    """Bound the rows of one Arrow batch, since texts may be very long."""
+def python_tasks(spark: SparkSession, rows: int = 512) -> None:
+    """Prepare the session for this package's Python tasks: bound the rows of
+    an Arrow batch, since texts may be very long, and let workers import the
+    package from where the driver has it.  (Executors on machines without that
+    folder get the package as any other, with ``--py-files``.)"""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000")) > rows:
         spark.conf.set(key, str(rows))
+    env, root = spark.sparkContext.environment, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
 def id_class(col: Column | str, modulus: int) -> Column:

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_rows, materialize, small_side
+from tessera.llm.common import python_tasks, materialize, small_side
 from tessera.llm.components import connected_components, local_roots
 
 #: Points of one slab that are compared as one side; larger slabs are cut.
@@ -156,7 +156,7 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     compares two chunks in tiles; it returns one row per linked point, never
     pairs.
     """
-    arrow_rows(vectors.sparkSession, 2048)
+    python_tasks(vectors.sparkSession, 2048)
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
     fine = F.coalesce(
         (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.common import arrow_rows, materialize, small_side
+from tessera.llm.common import python_tasks, materialize, small_side
 from tessera.llm.html_blocks import blocks
 from tessera.llm.url_filter import url_parts
 
@@ -177,7 +177,7 @@ def html_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     each with its two neighbours outside, are a task's group.  The flags of
     shared lines are joined back to the pages.
     """
-    arrow_rows(pages.sparkSession, 256)
+    python_tasks(pages.sparkSession, 256)
     lines = page_lines(pages, id_col, url_col, html_col).dropDuplicates(["id", "url", "page"])
     flags = materialize(shared_lines(url_order(lines)), "html_shared")
 

@@ -160,12 +160,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   source_col: str = "source", **kw) -> DataFrame:
     """The mixed corpus: the rows of ``docs``, each as often as the mix takes it."""
-    picks = materialize(mix(docs, id_col, text_col, source_col, **kw).where("copies > 0")
-                        .select(F.col(id_col).alias("pick_id"), F.col("source").alias("pick_source"),
-                                F.col("size").alias("pick_size"), F.col("copies").alias("pick_copies"))
-                        .distinct(), "mix_picks")
-    on = (docs[id_col].cast("long").eqNullSafe(F.col("pick_id")) & docs[source_col].eqNullSafe(F.col("pick_source"))
-          & (word_count(docs[text_col]) == F.col("pick_size")))
-    joined = docs.join(small_side(picks), on, "inner")
-    copies = F.explode(F.expr("array_repeat(0, cast(pick_copies as int))")).alias("pick_i")
-    return joined.select(*[docs[c] for c in docs.columns], copies).drop("pick_i")
+    picks = small_side(materialize(
+        mix(docs, id_col, text_col, source_col, **kw).where("copies > 0")
+        .select(F.col(id_col).alias("id"), F.col("source").alias("src"), F.col("size").alias("words"), "copies")
+        .distinct(), "mix_picks"))
+    on = (docs[id_col].cast("long").eqNullSafe(picks["id"]) & docs[source_col].eqNullSafe(picks["src"])
+          & (word_count(docs[text_col]) == picks["words"]))
+    number = "copy"
+    while number in docs.columns:
+        number += "_"
+    copies = F.explode(F.array_repeat(F.lit(0), picks["copies"].cast("int"))).alias(number)
+    return docs.join(picks, on, "inner").select(*[docs[c] for c in docs.columns], copies).drop(number)

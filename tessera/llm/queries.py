@@ -34,7 +34,7 @@ def _joined(spans: str) -> Column:
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan(_table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as bigint) AS n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(_joined("base"), 256).alias("base_sha256"),
                         _joined("spans").alias("spans"), "n_layers", "n_oversize")
 

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_rows
+from tessera.llm.common import python_tasks
 from tessera.llm.piece_model import BYTE, NORMAL, UNKNOWN, USER_DEFINED, PieceModel
 
 MARK = "▁"
@@ -289,7 +289,7 @@ def encode(docs: DataFrame, text_col: str = "text", out_col: str = "ids", model:
     column of that name; all others pass through.  No shuffle; a batch's
     texts and a bounded word cache are all that a task holds.
     """
-    arrow_rows(docs.sparkSession)
+    python_tasks(docs.sparkSession)
     data = load_model(docs.sparkSession, model)
 
     @F.pandas_udf("array<int>")
@@ -301,7 +301,7 @@ def encode(docs: DataFrame, text_col: str = "text", out_col: str = "ids", model:
 
 def decode(docs: DataFrame, ids_col: str = "ids", out_col: str = "decoded", model: str = MODEL) -> DataFrame:
     """``docs`` with ``out_col``, the text of each array of ids (null: empty)."""
-    arrow_rows(docs.sparkSession)
+    python_tasks(docs.sparkSession)
     data = load_model(docs.sparkSession, model)
 
     @F.pandas_udf("string")

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_rows, materialize
+from tessera.llm.common import python_tasks, materialize
 from tessera.llm.components import connected_components
 
 #: Buckets up to this many fingerprints are joined in Spark; larger ones are cut into chunks.
@@ -48,7 +48,7 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
     """``id, fp`` of every row."""
-    arrow_rows(docs.sparkSession)
+    python_tasks(docs.sparkSession)
 
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:

@@ -11,6 +11,7 @@ documents beside a short fixed list.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -21,14 +22,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_rows, id_class, materialize
+from tessera.llm.common import python_tasks, id_class, materialize
 from tessera.llm.training import TRAIN_ROWS, labelled, logistic
 
 #: Predicted 1 from this score on.
 TOXIC = 0.7
 #: Learned words and beginnings, at most.
 LEXICON = 20_000
-PREFIXES = (3, 4, 5, 6, 7)
+PREFIXES = (4, 5, 6, 7)
 
 # Symbols of common words in four languages.
 WORDS = {
@@ -84,8 +85,9 @@ FORWARD = Composed(Transducer("target", 4), Transducer("negation", 3), Transduce
 BACKWARD = Composed(Transducer("target", 4))
 
 _token = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?;:\n\"“”]+")
-#: Evidence of a document: constant, best clause, plain, aimed, negated, reported insults, threats, per word.
-PRIOR = np.array([-3.0, 1.0, 1.5, 0.5, -0.5, -0.5, 1.0, 0.3])
+#: Evidence of a document: constant, best insult, best clause, weights of plain, aimed, negated and reported
+#: insults, threats, all weights per word.
+PRIOR = np.array([-4.0, 1.0, 0.5, 0.5, 0.7, 0.1, 0.1, 1.0, 0.2])
 
 
 @dataclass
@@ -126,7 +128,7 @@ class Grammar:
 
     def evidence(self, text: str) -> list[float]:
         """What the matched clauses of the whole text add up to."""
-        best = plain = aimed = negated = reported = threats = 0.0
+        worst = best = plain = aimed = negated = reported = threats = 0.0
         for symbols, weights in self.clauses(text):
             ahead = FORWARD.run(symbols)
             behind = BACKWARD.run(symbols[::-1])[::-1]
@@ -135,19 +137,21 @@ class Grammar:
                 if s == "insult":
                     part = w * (1.25 if to or after else 1.0) * (0.6 if no else 1.0) * (0.7 if said else 1.0)
                     clause += part
-                    plain += not (no or said or to or after)
-                    aimed += bool(to or after) and not (no or said)
-                    negated += no
-                    reported += said and not no
+                    worst = max(worst, part)
+                    if no:
+                        negated += w
+                    elif said:
+                        reported += w
+                    elif to or after:
+                        aimed += w
+                    else:
+                        plain += w
                 elif s == "target" and threat:
                     threats += 1
                     clause += 1.0
             best = max(best, clause)
-        if not (best or threats):
-            return [1.0, 0, 0, 0, 0, 0, 0, 0]
-        total = plain + aimed + negated + reported
-        return [1.0, np.log1p(best), np.log1p(plain), np.log1p(aimed), np.log1p(negated), np.log1p(reported), np.log1p(threats),
-                np.log1p(100 * total / max(1, len(text) / 6))]
+        per_word = 100 * (plain + aimed + negated + reported) / max(1, len(text) / 6)
+        return [1.0, worst, *map(math.log1p, (best, plain, aimed, negated, reported, threats, per_word))]
 
     def score(self, texts) -> np.ndarray:
         x = np.array([self.evidence(t or "") for t in texts], dtype=float).reshape(-1, len(PRIOR))
@@ -157,8 +161,9 @@ class Grammar:
 def lexicon(train: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     """Words and beginnings that toxic documents have too often for chance.
 
-    Documents with a feature are counted in Spark, by label.  A feature counts
-    if its share of toxic documents is above the base rate by so much that
+    Documents with a feature are counted in Spark, by label, copies and near
+    copies once: of documents whose least hash of four words in a row is the
+    same, one is counted.  A feature counts if its share of toxic documents is above the base rate by so much that
     among all features none would be by chance (a bound on the binomial tail
     times the number of features); its weight is its smoothed log odds.
     """
@@ -173,6 +178,11 @@ def lexicon(train: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
             keys = list(seen[0].keys() | seen[1].keys())
             yield pd.DataFrame({"f": keys, "neg": [seen[0][k] for k in keys], "pos": [seen[1][k] for k in keys]})
 
+    run = F.transform(F.sequence(F.lit(0), F.greatest(F.size("w") - 4, F.lit(0))), lambda k: F.xxhash64(F.slice("w", k + 1, 4)))
+    sign = F.array_min(F.when(F.size("w") > 0, run))
+    train = (train.withColumn("w", F.split(F.lower("text"), r"\s+")).withColumn("sign", sign)
+             .groupBy("sign").agg(F.max_by("text", F.struct("y", "id")).alias("text"), F.max("y").alias("y")))
+    train = materialize(train, "toxic_distinct")
     table = materialize(train.mapInPandas(count, "f string, neg long, pos long")
                         .groupBy("f").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")), "toxic_counts")
     docs = train.agg(F.count(F.lit(1)), F.sum("y")).first()
@@ -185,7 +195,7 @@ def lexicon(train: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     tail = n * (share * F.log(share / rate) + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - rate))).otherwise(0.0))
     weight = F.log((F.col("pos") + 0.5) / (F.col("neg") + 0.5)) - float(np.log(rate / (1 - rate)))
     many = table.count()
-    rows = (table.where("pos > 0").where(share >= max(0.6, rate + 0.2)).where(tail > float(np.log(many) + 2))
+    rows = (table.where("pos > 0").where(share >= min(0.9, rate + 0.15)).where(tail > float(np.log(many) + 2))
             .select("f", weight.alias("w"), tail.alias("tail")).orderBy(F.desc("tail"), "f").limit(LEXICON).collect())
     words = {r["f"][1:]: min(r["w"], 6.0) for r in rows if r["f"].startswith("=")}
     return words, {r["f"]: min(r["w"], 6.0) for r in rows if not r["f"].startswith("=")}
@@ -195,7 +205,7 @@ def train_grammar(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                   modulus: int = 3, held_out: int = 1, bound: int = TRAIN_ROWS) -> Grammar:
     """The grammar fitted on about ``bound`` labelled documents outside the
     held-out class; the driver gets a bounded lexicon and eight figures a row."""
-    arrow_rows(docs.sparkSession)
+    python_tasks(docs.sparkSession)
     train = materialize(labelled(docs, labels, label, modulus, held_out, id_col, text_col, bound)
                         .withColumn("y", (F.col("y") > 0).cast("int")), "toxic_train")
     made = Grammar(*lexicon(train))
