@@ -58,6 +58,10 @@ def spread(seeds: DataFrame, edges: DataFrame, damping: float = 0.7, rounds: int
     Trust flows from source to target in proportion to the link counts,
     distrust the other way.  Each round is one join and one pre-aggregated sum.
     """
+    own = seeds.select("host", (F.col("trust0") * (1 - damping)).alias("trust"),
+                       (F.col("distrust0") * (1 - damping)).alias("distrust"))
+    if edges.isEmpty():  # nothing flows: the seeds' own mass is the fixpoint
+        return own
     out = edges.groupBy("src").agg(F.sum("n").alias("out_n"))
     into = edges.groupBy("dst").agg(F.sum("n").alias("in_n"))
     good = edges.join(out, "src").select(F.col("src").alias("a"), F.col("dst").alias("b"),
@@ -71,8 +75,6 @@ def spread(seeds: DataFrame, edges: DataFrame, damping: float = 0.7, rounds: int
         .groupBy("host").agg(F.max("trust0").alias("trust0"), F.max("distrust0").alias("distrust0")), "url_hosts")
     state = hosts.select("host", (F.col("trust0") * (1 - damping)).alias("trust"),
                          (F.col("distrust0") * (1 - damping)).alias("distrust"))
-    if flow.isEmpty():  # nothing flows: the seeds' own mass is the fixpoint
-        return state
     for k in range(rounds):
         inflow = (flow.join(state, flow["a"] == state["host"])
                   .groupBy("b").agg(F.sum(F.col("t") * F.col("trust")).alias("ti"),
