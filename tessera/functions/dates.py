@@ -17,8 +17,12 @@ def utc_date(iso_ts) -> Column:
 
     Goes through epoch seconds, so the answer does not depend on
     ``spark.sql.session.timeZone``: '2026-07-01T03:30:00+08:00' is 30 June.
+    A timestamp without an offset (``Z`` or ``+hh[:mm]``) names no instant:
+    it gives NULL rather than a date that the session's zone decides.
     """
-    secs = F.unix_seconds(F.to_timestamp(_c(iso_ts)))
+    ts = _c(iso_ts)
+    secs = F.unix_seconds(F.to_timestamp(F.when(ts.rlike("[0-9](?:[zZ]|[+-][0-9]{2}(?::?[0-9]{2})?)\\s*$")
+                                                & ts.rlike(":"), ts)))
     return F.date_from_unix_date(F.floor(secs / F.lit(86400)).cast("int"))
 
 

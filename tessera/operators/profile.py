@@ -24,6 +24,18 @@ def metrics(df: DataFrame, exprs: dict[str, Column], prefix: str = "") -> DataFr
     return _stack(row, [f"{prefix}{k}" for k in exprs], "metric", "value")
 
 
+def texts(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
+    """Metrics that are text: one aggregate, rows ``(metric, value, text)``."""
+    row = df.agg(*[e.cast("string").alias(k) for k, e in exprs.items()])
+    return _stack(row, list(exprs), "metric", "text").select("metric", F.lit(None).cast("bigint").alias("value"), "text")
+
+
+def blank_fields(df: DataFrame, table: str, fields: list[str]) -> Column:
+    """Aggregate: ``table.field`` of the fields without one value, comma-joined."""
+    return F.array_join(F.array_sort(F.array_compact(F.array(*[
+        F.when(F.count(F.col(f)) == 0, f"{table}.{f}") for f in fields]))), ",")
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 

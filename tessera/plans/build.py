@@ -2,10 +2,11 @@
 written as tables under one root.
 
 Every save records its row count with an ``Observation`` collected during
-the write itself (one pass, not write-then-recount) and appends to the
-lineage.  Gold facts that feed other gold models are written first and read
-back, so each is computed once.  Metrics land as a table; a failure to write
-the metrics table is recorded, not raised.
+the write itself (one pass, not write-then-recount).  Lineage records a read
+when a model first asks for the table, and every write.  Gold facts that feed
+other gold models are written first and read back, so each is computed once.
+Metrics are computed first; only writing their table is guarded, and a failure
+of that is recorded, not raised.
 """
 
 from __future__ import annotations
@@ -16,15 +17,17 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators.contracts import lacking_columns, money_type_offenders
+from tessera.operators.profile import union_all
 from tessera.plans import contract_suite
+from tessera.plans.expected import EXPECTED
 from tessera.plans.product import Product
 from tessera.plans.profiles import bronze_metrics, silver_metrics
-from tessera.plans.snapshot import snapshot
+from tessera.plans.snapshot import against, figures, snapshot
 from tessera.sources import landing
-from tessera.sources.testdata import TestData
-from tessera.types import (BRONZE_CONTRACT, POS_ORDERS_SCHEMA, WEB_CUSTOMER_DDL,
+from tessera.sources.testdata import LazyFeeds, TestData
+from tessera.types import (BRONZE_CONTRACT, POS_CUSTOMERS_SCHEMA, POS_ORDERS_SCHEMA, WEB_CUSTOMER_DDL,
                            WEB_ORDER_DDL, WEB_PRODUCT_DDL)
-from tessera.operators.contracts import bronze_contract_breaches
 
 
 @dataclass
@@ -51,17 +54,39 @@ class Run:
         self.lineage.append(("read", name))
         return self.spark.read.format(self.fmt).load(self.path(name))
 
-    def save_metrics(self, df: DataFrame, name: str) -> dict[str, int]:
-        """Metrics are a handful of rows: written as a table, returned as a dict."""
-        out: dict[str, int] = {}
+    def save_metrics(self, df: DataFrame, name: str) -> dict[str, int | str]:
+        """Metrics are a handful of rows ``metric, value, text``: computed
+        (a failure of that is raised), returned as a dict, and written as a
+        table (a failure of that is part of what is returned)."""
+        rows = df.collect()
+        out = {r["metric"]: r["value"] if r["text"] is None else r["text"] for r in rows}
         try:
-            df.write.format(self.fmt).mode("overwrite").save(self.path(name))
+            (self.spark.createDataFrame(rows, df.schema).coalesce(1).write.format(self.fmt).mode("overwrite")
+             .save(self.path(name)))
             self.lineage.append(("write", name))
-            out = {r["metric"]: r["value"] for r in self.read(name).collect()}
-        except Exception as exc:  # recorded, not raised (the data is already written)
-            out["metrics_table_not_written"] = str(exc)[:200]
+        except Exception as exc:  # the tables that the metrics are about are written already
+            out["metrics_table_not_written"] = str(exc)
         return out
 
+    def tables(self, names) -> LazyFeeds:
+        """Written tables by name, each opened, and noted as read, on first use."""
+        return LazyFeeds({n: (lambda n=n: self.read(n)) for n in names})
+
+
+class Recorded(Product):
+    """A product whose written models are noted as read on first use."""
+
+    def __init__(self, run: Run, bronze, written=(), **kw):
+        super().__init__(bronze, run.spark, **kw)
+        self._run = run
+        self._written.update({n: run.path(n) for n in written})
+
+    def __getattribute__(self, name):
+        get = super().__getattribute__
+        if name in Product.MODELS and name not in get("__dict__") and name in get("_written"):
+            get("__dict__")[name] = get("_run").read(name)
+        return get(name)
+
 
 LANDING = {
     "bronze_pos_customers": ("pos/customers", "csv"),
@@ -92,7 +117,7 @@ def read_landing(spark: SparkSession, landing_dir: str, day: str) -> dict[str, D
     for name, (sub, kind) in LANDING.items():
         path = os.path.join(landing_dir, sub, day)
         if kind == "csv":
-            out[name] = landing.read_csv(spark, path)
+            out[name] = landing.read_csv(spark, path, POS_CUSTOMERS_SCHEMA)
         elif kind == "json_lines":
             out[name] = landing.read_json_lines(spark, path, POS_ORDERS_SCHEMA)
         elif kind == "json_array":
@@ -107,31 +132,28 @@ def run_bronze(run: Run, landing_dir: str, day: str) -> dict:
     for name, df in feeds.items():
         run.lineage.append(("read", f"landing/{LANDING[name][0]}/{day}"))
         run.save(df, name)
-    bronze = {n: run.read(n) for n in feeds}
-    breaches = bronze_contract_breaches({n: d.columns for n, d in bronze.items()}, BRONZE_CONTRACT)
+    landed = {n: run.spark.read.format(run.fmt).load(run.path(n)).columns for n in feeds}
+    lacking = lacking_columns(run.spark, BRONZE_CONTRACT, landed).collect()
+    if lacking:
+        raise ValueError("bronze lacks columns that silver reads: " + "; ".join(
+            f"{r['table_name']}.{r['column_name']}" + ("" if r["table_landed"] else " (table not landed)") for r in lacking))
     # pages of JSON arrays that did not parse land no rows: count them
     malformed = [
-        landing.read_json_array(run.spark, os.path.join(landing_dir, LANDING[n][0], day), _DDL[n],
-                                with_page_status=True)
-        .agg(F.count_if(F.col("records").isNull()).cast("bigint").alias("value"))
-        .select(F.lit(f"{n}_malformed_pages").alias("metric"), "value")
+        landing.malformed_pages(run.spark, os.path.join(landing_dir, LANDING[n][0], day), _DDL[n])
+        .select(F.lit(f"{n}_malformed_pages").alias("metric"), "value", F.lit(None).cast("string").alias("text"))
         for n in feeds if LANDING[n][1] == "json_array"]
-    from tessera.operators.profile import union_all
-    metrics = run.save_metrics(union_all([bronze_metrics(bronze), *malformed]), "bronze_ingest_metrics")
-    return {"rows": {n: run.rows[n] for n in feeds}, "metrics": metrics,
-            "contract_breaches": breaches}
+    metrics = run.save_metrics(union_all([bronze_metrics(run.tables(feeds)), *malformed]), "bronze_ingest_metrics")
+    return {"rows": {n: run.rows[n] for n in feeds}, "metrics": metrics}
 
 
 def run_silver(run: Run) -> dict:
-    bronze = {n: run.read(n) for n in LANDING}
-    p = Product(bronze)
+    p = Product(run.tables(LANDING), run.spark)
     # accepted and quarantined orders share the latest-event pick: written once
-    p.materialize("latest_orders", fmt=run.fmt)
+    p.materialize("latest_orders", fmt=run.fmt, root=run.root)
+    run.lineage.append(("write", "latest_orders"))
     for name in Product.SILVER:
         run.save(p.model(name), name)
-    written = Product(bronze)
-    for name in Product.SILVER:
-        written.__dict__[name] = run.read(name)
+    written = Recorded(run, run.tables(LANDING), Product.SILVER)
     metrics = run.save_metrics(silver_metrics(written), "silver_metrics")
     return {"rows": {n: run.rows[n] for n in Product.SILVER}, "metrics": metrics}
 
@@ -140,22 +162,34 @@ GOLD_ORDER = ["fct_orders", "fct_sales", "dim_customer", "dim_party", "dim_count
               "dim_product", "dim_date", "fct_daily_revenue", "fct_revenue_summary"]
 
 
-def run_gold(run: Run) -> dict:
-    p = Product({n: run.read(n) for n in LANDING})
-    for name in Product.SILVER:
-        p.__dict__[name] = run.read(name)
+def run_gold(run: Run, expected: dict[str, str] | None = None) -> dict:
+    """``expected``: the figures that the snapshot must publish, if known for
+    the input; a figure that does not is a failed contract."""
+    p = Recorded(run, {}, Product.SILVER, summary_from="sales")
     for name in GOLD_ORDER:
         run.save(p.model(name), name)
-        p.__dict__[name] = run.read(name)        # later models read the written table
-    results = contract_suite.suite(p)
-    run.save(results, "contract_results")
-    failures = [r["contract"] for r in run.read("contract_results").filter("NOT passed").collect()]
+        p.use(name, run.read(name), run.path(name))  # later models read the written table
     run.save(snapshot(p.fct_revenue_summary), "product_snapshot")
-    snap = run.read("product_snapshot").collect()[0].asDict()
-    snap = {k: str(v) for k, v in snap.items()}
-    snap["contracts"] = sorted(r["contract"] for r in run.read("contract_results").collect())
-    if failures:
+    published = run.read("product_snapshot")
+    floats = money_type_offenders({t: run.read(t).schema for t in contract_suite.MONEY_TABLES})
+    results = contract_suite.suite(p).unionByName(
+        contract_suite.verdict(run.spark, "money_is_never_stored_as_float", len(floats)))
+    wrong = []
+    if expected:
+        wanted = run.spark.createDataFrame(list(expected.items()), "figure string, value string")
+        checked = against(figures(published), wanted).filter("verdict <> 'unasked'")
+        run.save(checked, "expected_figures")
+        wrong = [r.asDict() for r in run.read("expected_figures").filter("verdict <> 'equal'").collect()]
+        results = results.unionByName(
+            contract_suite.verdict(run.spark, "snapshot_publishes_the_expected_figures", len(wrong)))
+    run.save(results, "contract_results")
+    names = {r["contract"]: r["passed"] for r in run.read("contract_results").collect()}
+    snap = {k: str(v) for k, v in published.collect()[0].asDict().items()}
+    snap["contracts"] = sorted(names)
+    if failures := sorted(n for n, passed in names.items() if not passed):
         snap["contract_failures"] = failures
+    if wrong:
+        snap["unexpected_figures"] = wrong
     return {"rows": {n: run.rows[n] for n in GOLD_ORDER}, "snapshot": snap}
 
 
@@ -164,7 +198,7 @@ def run_all(spark: SparkSession, sf_dir: str, root: str, day: str = "2026-07-01"
     land(spark, sf_dir, landing_dir, day)
     run = Run(spark, os.path.join(root, "tables"))
     out = {"bronze": run_bronze(run, landing_dir, day), "silver": run_silver(run),
-           "gold": run_gold(run)}
+           "gold": run_gold(run, EXPECTED.get(os.path.basename(sf_dir.rstrip("/"))))}
     out["lineage"] = run.lineage
     return out
 

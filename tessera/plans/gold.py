@@ -12,30 +12,23 @@ from pyspark.sql import functions as F
 
 from tessera.functions.conform import usd_amount
 from tessera.functions.dates import fiscal_columns
-from tessera.operators.joins import broadcast_if_small
+from tessera.operators.asof import asof_lookup
 from tessera.types import (COUNTRY_NAME, UNALLOCATED, UNKNOWN_COUNTRY,
                            UNPUBLISHED_PRODUCT_NAME, UNSEGMENTED, MONEY)
 
 SUM_MONEY = "decimal(29,4)"
 
 
-def priced(df: DataFrame, fx: DataFrame, date_col, broadcast: bool | None = None) -> DataFrame:
+def priced(df: DataFrame, fx: DataFrame, date_col, broadcast: bool,
+           columns: tuple[str, ...] = ("rate_to_usd", "rate_is_carried")) -> DataFrame:
     """LEFT join to the dense FX grid on (currency, day): an unpriceable row
     is kept with NULL rate (and caught by the not-null contract).  The grid is
-    days x currencies -- broadcast once its row count is proven small
-    (``broadcast``: a decision already taken by the caller; None = probe)."""
-    g = fx.select(
-        F.col("currency").alias("_fx_currency"), F.col("rate_date").alias("_fx_date"),
-        "rate_to_usd", "rate_is_carried")
-    if broadcast is None:
-        g = broadcast_if_small(g)
-    elif broadcast:
-        g = F.broadcast(g)
-    j = df.join(g, (df["currency"] == g["_fx_currency"]) & (date_col == g["_fx_date"]), "left")
-    return j.drop("_fx_currency", "_fx_date")
-
-
-def fct_orders(silver_orders: DataFrame, fx: DataFrame, fx_broadcast: bool | None = None) -> DataFrame:
+    days x currencies; ``broadcast`` says that its size was checked."""
+    g = fx.select("currency", "rate_date", *columns).withColumnRenamed("currency", "_fx_currency")
+    return asof_lookup(df, F.broadcast(g) if broadcast else g, "currency", date_col, "_fx_currency", "rate_date")
+
+
+def fct_orders(silver_orders: DataFrame, fx: DataFrame, fx_broadcast: bool = False) -> DataFrame:
     o = silver_orders.select("order_id", "customer_id", "product_id", "order_date", "channel",
                              "status", "currency", "quantity", "unit_price", "amount")
     j = priced(o, fx, F.col("order_date").cast("date"), fx_broadcast)
@@ -57,12 +50,9 @@ def party_lookup(party: DataFrame) -> DataFrame:
                  .filter(F.col("_k").isNotNull()))
 
 
-def sales_lines(silver_orders: DataFrame, web_lines: DataFrame, fx: DataFrame,
-                fx_broadcast: bool | None = None) -> DataFrame:
-    """Both selling systems at line grain, priced in USD, before identity:
-    each line carries how its system names the buyer (``_sys``, ``_k``).
-    The POS side is ``fct_orders`` without its FX columns (a pure left join
-    that does not change rows), so both sides share one FX join."""
+def sold_lines(silver_orders: DataFrame, web_lines: DataFrame) -> DataFrame:
+    """Both selling systems at line grain, not priced and before identity:
+    each line carries how its system names the buyer (``_sys``, ``_k``)."""
     pos = silver_orders.select(
         F.lit("POS").alias("_sys"),
         F.col("customer_id").alias("_k"),
@@ -82,12 +72,19 @@ def sales_lines(silver_orders: DataFrame, web_lines: DataFrame, fx: DataFrame,
         "product_id",
         "order_date",
         F.lit("WEB").alias("channel_system"),
-        (F.col("status") == F.lit("cancelled")).alias("is_cancelled"),
+        F.coalesce(F.col("status") == F.lit("cancelled"), F.lit(False)).alias("is_cancelled"),
         F.col("quantity").cast("bigint").alias("quantity"),
         "amount",
         "currency",
     )
-    j = priced(pos.unionByName(web), fx, F.col("order_date"), fx_broadcast)
+    return pos.unionByName(web)
+
+
+def sales_lines(sold: DataFrame, fx: DataFrame, fx_broadcast: bool = False) -> DataFrame:
+    """``sold_lines`` priced in USD.  The POS side is ``fct_orders`` without
+    its FX columns (a pure left join that does not change rows), so both
+    systems share one FX join."""
+    j = priced(sold, fx, F.col("order_date"), fx_broadcast)
     return j.withColumn("amount_usd", usd_amount("amount", "rate_to_usd"))
 
 
@@ -96,13 +93,18 @@ SALES_COLUMNS = ["party_key", "sale_id", "product_id", "order_date", "channel_sy
                  "rate_is_carried", "amount_usd"]
 
 
+def bought(lines: DataFrame, party: DataFrame) -> DataFrame:
+    """Lines with their party: those whose buyer is known, once per party."""
+    return lines.join(party_lookup(party), ["_sys", "_k"])
+
+
 def fct_sales(lines: DataFrame, party: DataFrame) -> DataFrame:
     """Both selling systems at line grain, one currency; cancellations kept.
 
     Same rows as ``POS JOIN party ON pos_customer_id`` UNION ALL ``WEB JOIN
     party ON email AND in_web``: one join of the priced lines to the party
     lookup on (system, key)."""
-    return lines.join(party_lookup(party), ["_sys", "_k"]).select(*SALES_COLUMNS)
+    return bought(lines, party).select(*SALES_COLUMNS)
 
 
 def dim_customer(silver_customers: DataFrame) -> DataFrame:
@@ -189,44 +191,46 @@ SUMMARY_KEYS = ["fiscal_year", "fiscal_year_label", "fiscal_quarter", "fiscal_qu
                 "channel_system", "department", "product_segment", "customer_segment", "country"]
 
 
-def _partial_sums(df: DataFrame, keys: list[str]) -> DataFrame:
+def _line_sums(df: DataFrame, keys: list[str]) -> DataFrame:
     """Line measures summed per ``keys`` (partial, map-side first)."""
-    cancelled = F.col("is_cancelled").cast("int") == 1
-    net = F.coalesce(~cancelled, F.lit(True))
-    carried = (F.col("is_cancelled").cast("int") == 0) & (F.col("rate_is_carried").cast("int") == 1)
-    return (df.filter(F.col("order_date").isNotNull() & F.col("product_id").isNotNull())
-              .groupBy(*keys)
-              .agg(F.count(F.lit(1)).alias("n"),
-                   F.sum(F.when(net, F.col("quantity")).otherwise(F.lit(0))).alias("u"),
-                   F.sum(F.when(net, F.col("amount_usd")).otherwise(F.lit(0))).alias("r"),
-                   F.sum(F.when(cancelled, F.col("amount_usd")).otherwise(F.lit(0))).alias("c"),
-                   F.sum(F.when(carried, F.col("amount_usd")).otherwise(F.lit(0))).alias("k")))
-
-
-def _summarise(pre: DataFrame, hierarchy: DataFrame, party: DataFrame) -> DataFrame:
-    """Pre-aggregated (order_date, product_id, party_key, channel_system) groups
-    -> the nine reporting keys."""
-    pub = hierarchy.select(F.col("product_id").alias("_pid"), "department",
-                           F.col("segment").alias("product_segment"))
-    no_null_id = ~_published_has_null_id(hierarchy)
-    with_product = (pre.join(pub, F.col("product_id") == F.col("_pid"), "left")
-                       .filter(F.col("_pid").isNotNull() | no_null_id))
-    pt = party.select(F.col("party_key").alias("_pk"), "marketing_segment",
-                      F.col("country").alias("_country"))
-    j = with_product.join(pt, F.col("party_key") == F.col("_pk"), "left")
+    net = ~F.col("is_cancelled")
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.when(net, F.col("quantity")).otherwise(F.lit(0))).alias("u"),
+        F.sum(F.when(net, F.col("amount_usd")).otherwise(F.lit(0))).alias("r"),
+        F.sum(F.when(F.col("is_cancelled"), F.col("amount_usd")).otherwise(F.lit(0))).alias("c"),
+        F.sum(F.when(net & F.col("rate_is_carried"), F.col("amount_usd")).otherwise(F.lit(0))).alias("k"))
+
+
+FISCAL_KEYS = ["fiscal_year", "fiscal_year_label", "fiscal_quarter", "fiscal_quarter_label"]
+
+
+def _rolled_up(lines: DataFrame, hierarchy: DataFrame, products_broadcast: bool) -> DataFrame:
+    """Lines with what the summary keeps of their day and product: the fiscal
+    quarter (the function that builds ``dim_date``) and the product rollup.
+
+    The rollup is a LEFT join to the published hierarchy with 'Unallocated'
+    for the rest -- exactly the members ``dim_product`` adds -- keeping the
+    inner-join rules (NULL days and ids drop; a NULL published id means no SKU
+    is unpublished, so those lines drop too)."""
+    pub = hierarchy.select(F.col("product_id").alias("_pid"), F.col("department").alias("_dep"),
+                           F.col("segment").alias("_seg"))
     fc = fiscal_columns("order_date")
-    keyed = j.select(
-        fc["fiscal_year"].alias("fiscal_year"),
-        fc["fiscal_year_label"].alias("fiscal_year_label"),
-        fc["fiscal_quarter"].alias("fiscal_quarter"),
-        fc["fiscal_quarter_label"].alias("fiscal_quarter_label"),
-        "channel_system",
-        F.coalesce("department", F.lit(UNALLOCATED)).alias("department"),
-        F.coalesce("product_segment", F.lit(UNALLOCATED)).alias("product_segment"),
-        F.coalesce("marketing_segment", F.lit(UNSEGMENTED)).alias("customer_segment"),
-        F.coalesce("_country", F.lit(UNKNOWN_COUNTRY)).alias("country"),
-        "n", "u", "r", "c", "k")
-    return keyed.groupBy(*SUMMARY_KEYS).agg(
+    return (lines.filter(F.col("order_date").isNotNull() & F.col("product_id").isNotNull())
+            .join(F.broadcast(pub) if products_broadcast else pub, F.col("product_id") == F.col("_pid"), "left")
+            .filter(F.col("_pid").isNotNull() | ~_published_has_null_id(hierarchy))
+            .withColumns({k: fc[k] for k in FISCAL_KEYS})
+            .withColumns({"department": F.when(F.col("_pid").isNull(), UNALLOCATED).otherwise(F.col("_dep")),
+                          "product_segment": F.when(F.col("_pid").isNull(), UNALLOCATED).otherwise(F.col("_seg"))}))
+
+
+def _summarise(groups: DataFrame, party: DataFrame) -> DataFrame:
+    """Groups that carry ``party_key`` -> the nine reporting keys."""
+    pt = party.select(F.col("party_key").alias("_pk"), "marketing_segment", F.col("country").alias("_country"))
+    j = groups.join(pt, F.col("party_key") == F.col("_pk"), "left").withColumns({
+        "customer_segment": F.coalesce("marketing_segment", F.lit(UNSEGMENTED)),
+        "country": F.coalesce("_country", F.lit(UNKNOWN_COUNTRY))})
+    return j.groupBy(*SUMMARY_KEYS).agg(
         F.sum("n").cast("bigint").alias("sale_lines"),
         F.sum("u").cast("bigint").alias("units"),
         F.sum("r").cast(SUM_MONEY).alias("revenue_usd"),
@@ -235,40 +239,34 @@ def _summarise(pre: DataFrame, hierarchy: DataFrame, party: DataFrame) -> DataFr
     )
 
 
-def revenue_summary(sales: DataFrame, hierarchy: DataFrame, party: DataFrame) -> DataFrame:
+GROUP_KEYS = [*FISCAL_KEYS, "channel_system", "department", "product_segment"]
+
+
+def revenue_summary(sales: DataFrame, hierarchy: DataFrame, party: DataFrame,
+                    products_broadcast: bool = False) -> DataFrame:
     """Revenue by fiscal period x channel x product rollup x customer segment,
     from the sales fact (e.g. a written ``fct_sales``).
 
     Same answer as ``sales JOIN dim_date JOIN dim_product LEFT JOIN dim_party``
-    grouped by the nine keys, planned for volume:
-
-    * sales are first aggregated to (day, product, party, channel) -- a partial
-      (map-side) aggregate, so a hot party or product is collapsed before any
-      shuffle and the joins see groups, not lines;
-    * the fiscal attributes are a function of the day (the same function that
-      builds ``dim_date``), so no join to a dimension derived from this fact;
-    * the product rollup is a LEFT join to the published hierarchy with
-      'Unallocated' for the rest -- exactly the members ``dim_product`` adds --
-      keeping the inner-join rules (NULL ids drop; a NULL published id means no
-      SKU is unpublished, so those lines drop too).
+    grouped by the nine keys, planned for volume: lines take their fiscal
+    quarter and product rollup where they are (``products_broadcast``: the
+    hierarchy's size was checked), then a map-side aggregate sums them per
+    quarter, channel, rollup and buyer.  What is shuffled to the party join is
+    bounded by buyers x quarters, not lines, and a hot buyer is collapsed.
     """
-    pre = _partial_sums(sales, ["order_date", "product_id", "party_key", "channel_system"])
-    return _summarise(pre, hierarchy, party)
+    return _summarise(_line_sums(_rolled_up(sales, hierarchy, products_broadcast), [*GROUP_KEYS, "party_key"]), party)
 
 
-def revenue_summary_from_lines(lines: DataFrame, hierarchy: DataFrame, party: DataFrame) -> DataFrame:
-    """The same summary straight from the priced lines (``sales_lines``): the
-    lines are aggregated per (day, product, system, buyer key, channel) right
-    after the broadcast FX join, and only these groups meet the party lookup
-    -- one shuffle of line-grain data instead of two.  Equal to
+def revenue_summary_from_lines(lines: DataFrame, hierarchy: DataFrame, party: DataFrame,
+                               products_broadcast: bool = False) -> DataFrame:
+    """The same summary straight from the priced lines (``sales_lines``): they
+    are summed per quarter, rollup and buyer as the selling system names them,
+    and only these groups meet the party lookup.  Equal to
     ``revenue_summary(fct_sales(lines, party), ...)``: the lookup join is N:1
     per group exactly as per line (a duplicated key fans out sums and counts
     alike)."""
-    pre = _partial_sums(lines, ["order_date", "product_id", "_sys", "_k", "channel_system"])
-    keyed = pre.join(party_lookup(party), ["_sys", "_k"]).drop("_sys", "_k")
-    pre2 = keyed.groupBy("order_date", "product_id", "party_key", "channel_system").agg(
-        *[F.sum(c).alias(c) for c in ["n", "u", "r", "c", "k"]])
-    return _summarise(pre2, hierarchy, party)
+    groups = _line_sums(_rolled_up(lines, hierarchy, products_broadcast), [*GROUP_KEYS, "_sys", "_k"])
+    return _summarise(bought(groups, party), party)
 
 
 def revenue_summary_joined(sales: DataFrame, dim_date_df: DataFrame, dim_product_df: DataFrame,
@@ -276,9 +274,9 @@ def revenue_summary_joined(sales: DataFrame, dim_date_df: DataFrame, dim_product
     """The summary planned the textbook way (line-grain joins to the three
     dimensions, then one aggregate).  Kept as a second build that
     ``reconcile`` compares with ``revenue_summary``."""
-    cancelled = F.col("is_cancelled").cast("int") == 1
-    net = F.coalesce(~cancelled, F.lit(True))
-    carried = (F.col("is_cancelled").cast("int") == 0) & (F.col("rate_is_carried").cast("int") == 1)
+    cancelled = F.col("is_cancelled")
+    net = ~cancelled
+    carried = net & F.col("rate_is_carried")
     d = dim_date_df.select(F.col("date_key").alias("_dk"), "fiscal_year", "fiscal_year_label",
                            "fiscal_quarter", "fiscal_quarter_label")
     p = dim_product_df.select(F.col("product_id").alias("_pid"), "department", "product_segment")

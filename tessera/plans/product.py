@@ -12,17 +12,23 @@ from tessera.sources.testdata import TestData
 
 
 class Product:
-    def __init__(self, bronze, spark: SparkSession | None = None):
+    """``summary_from``: whether the management summary is built from the
+    sales fact (``sales``, e.g. a written one) or straight from the priced
+    lines (``lines``)."""
+
+    def __init__(self, bronze, spark: SparkSession | None = None, summary_from: str = "lines"):
         self.bronze = bronze
         self._spark = spark
+        self.summary_from = summary_from
+        self._written: dict[str, str] = {}
 
     @classmethod
-    def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Product":
+    def from_testdata(cls, spark: SparkSession, sf_dir: str, summary_from: str = "lines") -> "Product":
         """Bronze from the test-data adapter.  The FX reference feed -- a small
         file in production -- is landed once (written to the shared folder) so
         that its several readers scan a small table instead of re-deriving it
         from the orders."""
-        p = cls(TestData(spark, sf_dir).bronze(), spark)
+        p = cls(TestData(spark, sf_dir).bronze(), spark, summary_from)
         p._land_fx = True
         return p
 
@@ -78,10 +84,11 @@ class Product:
     @cached_property
     def fx_broadcast(self) -> bool:
         """Is the dense FX grid small enough to broadcast?  Decided once, from
-        its exact row count (computed from the quotes, not by building it)."""
+        a bound on its rows (computed from the quotes, not by building it).
+        Rows are a few fixed-width columns, so their number bounds the bytes."""
         from tessera.operators.asof import carry_forward_rows
         from tessera.operators.joins import BROADCAST_MAX_ROWS
-        if "silver_fx_daily" in getattr(self, "_written", {}):
+        if "silver_fx_daily" in self._written:
             return self.silver_fx_daily.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
         quotes = silver.fx_quotes(self._fx_bronze())
         return carry_forward_rows(quotes, "currency", "rate_date") <= BROADCAST_MAX_ROWS
@@ -91,10 +98,28 @@ class Product:
     def fct_orders(self) -> DataFrame:
         return gold.fct_orders(self.silver_orders, self.silver_fx_daily, self.fx_broadcast)
 
+    @cached_property
+    def products_broadcast(self) -> bool:
+        """Is the product hierarchy small enough to broadcast?"""
+        from tessera.operators.joins import BROADCAST_MAX_ROWS
+        return self.silver_product_hierarchy.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
+
+    @cached_property
+    def sold_lines(self) -> DataFrame:
+        return gold.sold_lines(self.silver_orders, self.silver_web_order_lines)
+
     @cached_property
     def sales_lines(self) -> DataFrame:
-        return gold.sales_lines(self.silver_orders, self.silver_web_order_lines,
-                                self.silver_fx_daily, self.fx_broadcast)
+        return gold.sales_lines(self.sold_lines, self.silver_fx_daily, self.fx_broadcast)
+
+    @cached_property
+    def _dated_products(self) -> DataFrame:
+        """Days and SKUs of the lines with a known buyer.  The FX join keeps
+        every line and doubles none that a distinct would not fold, so it is
+        left out; a written sales fact is read instead."""
+        if "fct_sales" in self._written:
+            return self.fct_sales
+        return gold.bought(self.sold_lines, self.silver_party)
 
     @cached_property
     def fct_sales(self) -> DataFrame:
@@ -114,11 +139,11 @@ class Product:
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return gold.dim_product(self.silver_product_hierarchy, self.fct_sales)
+        return gold.dim_product(self.silver_product_hierarchy, self._dated_products)
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return gold.dim_date(self.fct_sales)
+        return gold.dim_date(self._dated_products)
 
     @cached_property
     def fct_daily_revenue(self) -> DataFrame:
@@ -126,12 +151,10 @@ class Product:
 
     @cached_property
     def fct_revenue_summary(self) -> DataFrame:
-        if "fct_sales" in getattr(self, "_written", {}) or "fct_sales" in self.__dict__:
-            # the fact is already built (or written): aggregate it
-            return gold.revenue_summary(self.fct_sales, self.silver_product_hierarchy,
-                                        self.dim_party)
-        return gold.revenue_summary_from_lines(self.sales_lines, self.silver_product_hierarchy,
-                                               self.dim_party)
+        parts = (self.silver_product_hierarchy, self.dim_party, self.products_broadcast)
+        if self.summary_from == "sales":
+            return gold.revenue_summary(self.fct_sales, *parts)
+        return gold.revenue_summary_from_lines(self.sales_lines, *parts)
 
     SILVER = ["silver_customers", "silver_orders", "silver_quarantine_orders",
               "silver_web_customers", "silver_web_order_lines", "silver_product_hierarchy",
@@ -139,6 +162,8 @@ class Product:
     GOLD = ["dim_customer", "dim_party", "dim_country", "dim_product", "dim_date",
             "fct_orders", "fct_sales", "fct_daily_revenue", "fct_revenue_summary"]
 
+    MODELS = frozenset([*SILVER, *GOLD])
+
     def model(self, name: str) -> DataFrame:
         return getattr(self, name)
 
@@ -148,7 +173,7 @@ class Product:
             self._spark = self.bronze[next(iter(self.bronze))].sparkSession
         return self._spark
 
-    def materialize(self, *names: str, fmt: str = "parquet") -> "Product":
+    def materialize(self, *names: str, fmt: str = "parquet", root: str | None = None) -> "Product":
         """Write the named models once to the shared folder and read them back.
 
         For plans that consume a model several times (contracts, builds that
@@ -159,11 +184,15 @@ class Product:
         """
         from tessera.session import scratch_path
         for name in names:
-            if name in self.__dict__ and getattr(self, "_written", {}).get(name):
+            if name in self._written:
                 continue
-            path = scratch_path(self.spark, f"tables/{name}")
+            path = f"{root}/{name}" if root else scratch_path(self.spark, f"tables/{name}")
             df = self.model(name)
             df.write.mode("overwrite").format(fmt).save(path)
-            self.__dict__[name] = self.spark.read.format(fmt).schema(df.schema).load(path)
-            self.__dict__.setdefault("_written", {})[name] = path
+            self.use(name, self.spark.read.format(fmt).schema(df.schema).load(path), path)
         return self
+
+    def use(self, name: str, df: DataFrame, path: str) -> None:
+        """Read model ``name`` from ``df``, which was written to ``path``."""
+        self.__dict__[name] = df
+        self._written[name] = path

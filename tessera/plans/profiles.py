@@ -1,4 +1,5 @@
-"""Bronze and silver metrics as (metric, value) rows, one aggregate per table."""
+"""Bronze and silver metrics as (metric, value, text) rows, one aggregate per table;
+``text`` holds the metrics that are text, ``value`` the others."""
 
 from __future__ import annotations
 
@@ -6,14 +7,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.identity import key_overlap
-from tessera.operators.profile import metrics, union_all
+from tessera.operators.profile import blank_fields, metrics, texts, union_all
+
+WEB_FIELDS = {"bronze_web_customers": ["email", "full_name", "country", "signup_ts"],
+              "bronze_web_products": ["product_id", "title", "list_price"],
+              "bronze_web_orders": ["web_order_id", "email", "placed_at", "status", "lines"]}
 
 
 def bronze_metrics(b: dict[str, DataFrame]) -> DataFrame:
     cust, orders = b["bronze_pos_customers"], b["bronze_pos_orders"]
     fx, hier = b["bronze_ref_fx_rates"], b["bronze_ref_product_hierarchy"]
     one = F.count(F.lit(1))
-    return union_all([
+    numbers = union_all([
         metrics(cust, {"bronze_pos_customers": one,
                        "distinct_customers": F.count_distinct("customer_id"),
                        "customer_columns": F.lit(len(cust.columns))}),
@@ -33,13 +38,20 @@ def bronze_metrics(b: dict[str, DataFrame]) -> DataFrame:
                        "departments": F.count_distinct("department")}),
         metrics(b["bronze_erp_customer_changes"], {"bronze_erp_customer_changes": one}),
     ])
+    return union_all([
+        numbers.withColumn("text", F.lit(None).cast("string")),
+        texts(cust, {"customer_column_names": F.lit(",".join(cust.columns))}),
+        *[texts(b[t], {f"{t}_blank_columns": blank_fields(b[t], t, fields)}) for t, fields in WEB_FIELDS.items()],
+    ])
 
 
 def silver_metrics(p) -> DataFrame:
     """``p``: a Product (or anything with the silver models as attributes)."""
     one = F.count(F.lit(1))
     pos, web = F.col("in_pos"), F.col("in_web")
-    return union_all([
+    numbers = union_all([
+        key_overlap(p.bronze["bronze_pos_customers"], p.bronze["bronze_web_customers"], "email").select(
+            F.lit("naive_case_sensitive_matches").alias("metric"), F.col("overlap").cast("bigint").alias("value")),
         metrics(p.silver_customers, {"silver_customers": one,
                                      "customer_columns": F.lit(len(p.silver_customers.columns)),
                                      "countries": F.count_distinct("country"),
@@ -61,3 +73,4 @@ def silver_metrics(p) -> DataFrame:
                                  "party_web_only": F.count_if(~pos & web),
                                  "party_no_email": F.count_if(F.col("email") == "")}),
     ])
+    return numbers.withColumn("text", F.lit(None).cast("string"))

@@ -15,12 +15,7 @@ from tessera.operators.asof import carry_forward
 from tessera.operators.dedupe import latest_by, one_per_key
 from tessera.operators.identity import resolve_parties
 from tessera.operators.quarantine import split
-from tessera.types import REASON_MISSING_UNIT_PRICE, REASON_NON_POSITIVE_QUANTITY
-
-ORDER_COLUMNS = ["order_id", "customer_id", "product_id", "order_date", "channel",
-                 "store_id", "currency", "discount_pct", "tax_rate", "shipping_fee",
-                 "payment_method", "is_gift", "promo_code", "quantity", "unit_price",
-                 "status", "event_seq"]
+from tessera.types import ORDER_COLUMNS, REASON_MISSING_UNIT_PRICE, REASON_NON_POSITIVE_QUANTITY
 
 def quarantine_rules():
     """(reason, predicate) in priority order; built per call (Columns need a

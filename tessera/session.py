@@ -22,30 +22,6 @@ DEFAULT_CONF = {
 }
 
 
-def cluster_conf(largest_shuffle_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Settings for a cluster run, sized from the largest shuffle (for this
-    product: the priced sales lines, about the size of the line items).
-
-    AQE starts from enough shuffle partitions that none exceeds
-    ``partition_bytes`` and coalesces small ones back; scans split files at
-    ``partition_bytes``; skewed partitions above 4x the median (and 256 MB)
-    are split; dimension-sized sides up to 64 MB are broadcast by measured
-    size.  The checkpoint folder must be set by the cluster
-    (``spark.checkpoint.dir``) -- it is never chosen here.
-    """
-    n = max(200, -(-largest_shuffle_bytes // partition_bytes))
-    return {
-        **DEFAULT_CONF,
-        "spark.sql.shuffle.partitions": str(n),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    }
-
-
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "tessera", extra: dict | None = None) -> SparkSession:
     """Build (or return) a session with the library's settings."""
@@ -66,30 +42,37 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when it is unset (local runs, tests) is a
-    private folder created and registered as the checkpoint directory.
+    Read from the session.  Only a local session (tests, one machine) gets a
+    private folder where it is unset; elsewhere executors would each write to
+    a folder of their own, so a missing setting is an error.
     """
-    path = None
-    try:
-        sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and (sc := getattr(spark, "_sc", None)) is not None:
         path = sc.getCheckpointDir()
-    except Exception:  # e.g. a Spark Connect session: no SparkContext
-        sc = None
-    if not path:
-        path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.conf.get("spark.master", "").split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        if sc is not None:
-            sc.setCheckpointDir(path)
-            path = sc.getCheckpointDir() or path
-        else:
-            spark.conf.set("spark.checkpoint.dir", path)
+        spark.sparkContext.setCheckpointDir(path)
+        path = spark.sparkContext.getCheckpointDir() or path
     return path.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, kind: str) -> str:
-    """A fresh, never reused folder under the shared folder."""
+def _scratch_root(spark: SparkSession) -> str:
     base = shared_dir(spark)
     if base.startswith("file:"):
         base = base[len("file:"):]
-    return os.path.join(base, "tessera", kind, uuid.uuid4().hex)
+    return os.path.join(base, "tessera", spark.sparkContext.applicationId)
+
+
+def scratch_path(spark: SparkSession, kind: str) -> str:
+    """A fresh, never reused folder of this application under the shared folder."""
+    return os.path.join(_scratch_root(spark), kind, uuid.uuid4().hex)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all that this application wrote under ``scratch_path``.  To be
+    called when no frame that reads it is needed any more."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

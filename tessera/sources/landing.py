@@ -16,9 +16,12 @@ from pyspark.sql import types as T
 
 
 # --- readers -------------------------------------------------------------------
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header; every column is a string (no inference)."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """CSV with a header.  With a declared schema nothing is read to plan the
+    scan, and a file whose header has other names is an error; without one
+    every column is a string."""
+    r = spark.read.option("header", True)
+    return r.schema(schema).option("enforceSchema", False).csv(path) if schema is not None else r.csv(path)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -28,17 +31,22 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str |
     return r.json(path)
 
 
-def read_json_array(spark: SparkSession, path: str, element_ddl: str,
-                    with_page_status: bool = False) -> DataFrame:
-    """Each text line is one page: a JSON array of records -> one row per
-    record.  A malformed page parses to NULL and yields no rows; with
-    ``with_page_status`` the pages are returned instead, each with
-    ``records`` (NULL when malformed) for counting."""
-    page = F.from_json(F.col("value"), f"array<struct<{element_ddl}>>")
-    pages = spark.read.text(path).select(page.alias("records"))
-    if with_page_status:
-        return pages
-    return pages.select(F.explode("records").alias("r")).select("r.*")
+def parsed_pages(text: DataFrame, element_ddl: str) -> DataFrame:
+    """``records`` of every text line, which is one page: a JSON array of
+    records.  NULL where the page is malformed."""
+    return text.select(F.from_json(F.col("value"), f"array<struct<{element_ddl}>>").alias("records"))
+
+
+def read_json_array(spark: SparkSession, path: str, element_ddl: str) -> DataFrame:
+    """Pages of JSON arrays, one row per record; malformed pages yield none
+    (``malformed_pages`` counts them)."""
+    return parsed_pages(spark.read.text(path), element_ddl).selectExpr("inline(records)")
+
+
+def malformed_pages(spark: SparkSession, path: str, element_ddl: str) -> DataFrame:
+    """One row ``value``: the pages under ``path`` that are no JSON array."""
+    return parsed_pages(spark.read.text(path), element_ddl).agg(
+        F.count_if(F.col("records").isNull()).cast("bigint").alias("value"))
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -65,15 +73,15 @@ def write_json_array_pages(df: DataFrame, path: str, page_rows: int = 500) -> No
     docs = df.select(F.to_json(F.struct(*df.columns)).alias("doc"))
 
     def pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        buf: list[str] = []
+        rest: list[str] = []
         for b in batches:
-            for d in b["doc"]:
-                buf.append(d)
-                if len(buf) == page_rows:
-                    yield pd.DataFrame({"value": ["[" + ",".join(buf) + "]"]})
-                    buf = []
-        if buf:
-            yield pd.DataFrame({"value": ["[" + ",".join(buf) + "]"]})
+            rest += b["doc"].tolist()
+            full = len(rest) - len(rest) % page_rows
+            if full:
+                yield pd.DataFrame({"value": ["[" + ",".join(rest[k:k + page_rows]) + "]" for k in range(0, full, page_rows)]})
+                rest = rest[full:]
+        if rest:
+            yield pd.DataFrame({"value": ["[" + ",".join(rest) + "]"]})
 
     docs.mapInPandas(pages, "value string").write.mode("overwrite").text(path)
 

@@ -12,7 +12,7 @@ the SQL oracle (integer arithmetic only; no hashing, no double rounding):
   holder with an odd key go to the storefront, all others to the shops.
   One POS *event* per line item (``event_seq`` = line number, so several
   events per order and ties within an order); one web basket document per
-  line item (a single-element ``lines`` array -- no grouping, no shuffle).
+  order, its line items in one ``lines`` array.
 * parts ``p_partkey % 50 = 7`` are missing from the published hierarchy.
 * FX quotes cover the order span +-7 days, business days only.
 
@@ -28,6 +28,7 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tessera.types import MONEY
@@ -133,23 +134,12 @@ class TestData:
 
     @cached_property
     def _lines(self) -> DataFrame:
-        """Line items with their order header, shared by both systems.
-
-        The line items are hash-partitioned on the order key straight after
-        the scan, on their narrow raw columns.  At volume that is the
-        exchange the join to the orders needs anyway (a sort-merge join on
-        the order key), so it adds no shuffle, and the wide string-building
-        projections of both feeds run in as many tasks as there are shuffle
-        partitions even when the source is a single unsplittable file.  Each
-        system's branch keeps its own exchange: the web branch's order-key
-        condition is pushed below it into the scan (it shuffles only its own
-        line items), the POS branch's negated condition cannot be."""
+        """Line items with their order header, shared by both systems."""
         li = self.table("lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_extendedprice", "l_discount", "l_tax", "l_returnflag")
         o = self.table("orders").select(
             "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-        li = li.repartition("l_orderkey")
         return li.join(o, li.l_orderkey == o.o_orderkey)
 
     # every line item is in exactly one system
@@ -211,19 +201,24 @@ class TestData:
         )
 
     def web_orders(self) -> DataFrame:
-        x = self._lines.filter(self.WEB_ORDER)
-        d = "date_format(o_orderdate, 'yyyy-MM-dd')"
+        """One basket document per order.  The lines are in line number order;
+        line numbers repeat within an order, so the other line fields break
+        ties (lines equal in all of them are interchangeable)."""
         line = (f"named_struct('line_no', CAST(l_linenumber AS INT), "
                 f"'product_id', {_key('P', 'l_partkey')}, "
                 f"'quantity', CAST(floor(l_quantity) AS INT), "
                 f"'unit_price', CAST(l_extendedprice AS {MONEY}))")
-        return x.selectExpr(
+        baskets = (self._lines.filter(self.WEB_ORDER)
+                   .groupBy("o_orderkey", "o_custkey", "o_orderdate")
+                   .agg(F.expr(f"array_sort(collect_list({line}))").alias("lines")))
+        d = "date_format(o_orderdate, 'yyyy-MM-dd')"
+        return baskets.selectExpr(
             f"{_key('W', 'o_orderkey')} AS web_order_id",
             f"{web_email('o_custkey')} AS email",
             f"CASE WHEN o_orderkey % 3 = 0 THEN concat({d}, 'T03:30:00+08:00') "
             f"ELSE concat({d}, 'T12:00:00+00:00') END AS placed_at",
             "CASE WHEN o_orderkey % 20 = 1 THEN 'cancelled' ELSE 'completed' END AS status",
-            f"array({line}) AS lines",
+            "lines",
         )
 
     def web_products(self) -> DataFrame:

@@ -65,7 +65,6 @@ EXACT_NUMERIC_PREFIXES = ["decimal", "numeric"]
 
 # Headline figures of a product snapshot.
 SNAPSHOT_KEYS = ["revenue_usd", "cancelled_revenue_usd", "sale_lines"]
-# ---------------------------------------------------------------------------
 
 # Bronze as it lands.  The POS customer feed is CSV (all strings); the POS
 # order feed is JSON lines (numbers land as long/double); the web feeds are
@@ -139,3 +138,7 @@ BRONZE_CONTRACT = {
     ],
     "bronze_ref_fx_rates": ["currency", "rate_date", "rate_to_usd"],
 }
+# ---------------------------------------------------------------------------
+
+#: The columns of a POS order event, as every layer that keeps them whole has them.
+ORDER_COLUMNS = [f.name for f in POS_ORDERS_SCHEMA.fields]

@@ -10,8 +10,9 @@ SF001 = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from tessera.session import get_spark
+    from tessera.session import drop_scratch, get_spark
     s = get_spark("local[*]", shuffle_partitions=8,
                   extra={"spark.ui.showConsoleProgress": "false"})
     yield s
+    drop_scratch(s)
     s.stop()

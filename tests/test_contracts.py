@@ -1,14 +1,11 @@
 from decimal import Decimal
 
 
-from tessera.operators.contracts import (Check, bronze_contract_breaches, evaluate,
-                                         money_type_offenders)
+from tessera.operators.contracts import Check, evaluate, lacking_columns, money_type_offenders, violations
 from tessera.plans import contract_suite as K
-from tessera.plans.snapshot import check, expected_measures, reconcile
+from tessera.plans.snapshot import against, build_evidence, figures, reconcile
 from tessera.types import BRONZE_CONTRACT
 
-import pytest
-
 
 def test_declared_counts():
     assert len(K.SILVER_CHECKS) == 12 and len(K.GOLD_CHECKS) == 48
@@ -36,15 +33,25 @@ def test_money_types():
     assert money_type_offenders({"t": s}) == [("t", "list_price_usd", "double"), ("t", "rate_to_usd", "float")]
 
 
-def test_bronze_contract():
+def test_lacking_columns(spark):
     ok = {t: [c.upper() for c in cols] + ["extra"] for t, cols in BRONZE_CONTRACT.items()}
-    assert bronze_contract_breaches(ok, BRONZE_CONTRACT) == []
+    assert lacking_columns(spark, BRONZE_CONTRACT, ok).count() == 0
     broken = dict(ok)
     del broken["bronze_ref_fx_rates"]
     broken["bronze_web_orders"] = ["web_order_id", "email"]
-    probs = bronze_contract_breaches(broken, BRONZE_CONTRACT)
-    assert "bronze_ref_fx_rates: not present in bronze" in probs
-    assert any(p.startswith("bronze_web_orders: missing placed_at") for p in probs)
+    got = {tuple(r) for r in lacking_columns(spark, BRONZE_CONTRACT, broken).collect()}
+    assert got == ({("bronze_ref_fx_rates", c, False) for c in BRONZE_CONTRACT["bronze_ref_fx_rates"]}
+                   | {("bronze_web_orders", c, True) for c in ("placed_at", "status", "lines")})
+
+
+def test_violations_are_the_rows_behind_the_counts(spark):
+    t = spark.createDataFrame([("a", 1, "US"), ("a", 2, "FR"), ("b", None, None), (None, 3, "GB")], "k string, n int, c string")
+    models = {"t": t, "p": spark.createDataFrame([("a",), (None,)], "id string")}
+    rows = lambda *c, **kw: sorted((tuple(r) for r in violations(models.__getitem__, Check("t", *c, **kw)).collect()), key=str)
+    assert rows("k", "unique") == [("a", 1, "US"), ("a", 2, "FR")]
+    assert rows("n", "not_null") == [("b", None, None)]
+    assert rows("c", "accepted_values", ("US", "GB")) == [("a", 2, "FR")]
+    assert rows("k", "relationships", to_table="p", to_column="id") == [("b", None, None)]
 
 
 class _P:
@@ -80,29 +87,47 @@ def test_revenue_conserved(spark):
     assert f(eq) is True and f(off) is False and f(empty) is False
 
 
-def test_snapshot_check():
-    exp = {"revenue_usd": "129341157.6700", "sale_lines": "474044"}
-    assert check({"revenue_usd": "129341157.67", "sale_lines": 474044}, exp) == []
-    assert check({"sale_lines": "474044"}, exp) == ["revenue_usd: absent from the snapshot, expected 129341157.6700"]
-    assert "not a number" in check({"revenue_usd": "n/a", "sale_lines": "474044"}, exp)[0]
-    with pytest.raises(KeyError):
-        expected_measures({"revenue_usd": "1"})
+def test_figures_against_wanted_ones(spark):
+    table = lambda rows: spark.createDataFrame(rows, "figure string, value string")
+    got = {r.figure: r.verdict for r in against(
+        table([("revenue_usd", "129341157.67"), ("sale_lines", "474045"), ("bad", "n/a"), ("null", None), ("more", "1")]),
+        table([("revenue_usd", "129341157.6700"), ("sale_lines", "474044"), ("bad", "1"), ("null", "1"), ("gone", "5")])).collect()}
+    assert got == {"revenue_usd": "equal", "sale_lines": "differs", "bad": "not a number", "null": "unpublished",
+                   "gone": "unpublished", "more": "unasked"}
+    snap = spark.createDataFrame([(Decimal("1.5"), None, 3)], "revenue_usd decimal(29,4), cancelled_revenue_usd decimal(29,4), sale_lines long")
+    assert {r.figure: r.value for r in figures(snap).collect()} == {
+        "revenue_usd": "1.5000", "cancelled_revenue_usd": None, "sale_lines": "3"}
 
 
 def test_reconcile(spark):
-    snaps = spark.createDataFrame([
-        ("base", Decimal("10"), Decimal("1"), 5, 0),
-        ("same", Decimal("10"), Decimal("1"), 5, 0),
-        ("zeros", Decimal("0"), Decimal("0"), 0, 0),
-        ("other", Decimal("11"), Decimal("1"), 5, 0),
-        ("failing", Decimal("10"), Decimal("1"), 5, 2),
+    ten, one, c = Decimal("10"), Decimal("1"), ["x", "y"]
+    builds = spark.createDataFrame([
+        ("base", ten, one, 5, c, [], None),
+        ("same", ten, one, 5, ["y", "x"], [], None),
+        ("zeros", Decimal(0), Decimal(0), 0, c, [], None),
+        ("nulls", None, None, None, c, ["x"], None),
+        ("other", Decimal("11"), one, 5, c, [], None),
+        ("fewer contracts", ten, one, 5, ["x"], [], None),
+        ("failing", ten, one, 5, c, ["y"], None),
+        ("absent", None, None, None, None, None, "not here"),
     ], "build string, revenue_usd decimal(29,4), cancelled_revenue_usd decimal(29,4), sale_lines bigint, "
-       "contract_failures bigint")
-    r = {x.build: x for x in reconcile(snaps, "base").collect()}
-    assert r["same"].ok and r["base"].ok
-    assert not r["zeros"].has_evidence and not r["zeros"].ok
-    assert not r["other"].agrees_with_base
-    assert r["failing"].agrees_with_base and not r["failing"].ok
+       "contracts array<string>, failed array<string>, gap string")
+    r = {x.build: x for x in reconcile(builds, "base").collect()}
+    assert {k: x.verdict for k, x in r.items()} == {
+        "base": "agrees", "same": "agrees", "zeros": "no evidence", "nulls": "no evidence", "other": "differs",
+        "fewer contracts": "differs", "failing": "failed contracts", "absent": "gap"}
+    assert r["failing"].agrees_with_base and r["failing"].contract_failures == 1
+    assert not r["zeros"].has_evidence and r["absent"].contract_failures == 0
+
+
+def test_build_evidence(spark):
+    sales = spark.createDataFrame([(Decimal("7"),), (Decimal("3"),)], "amount_usd decimal(19,4)")
+    good = _summary(spark, [("WEB", "d", "s", "q", Decimal(5), Decimal(1), 1), ("POS", "d", "s", "q", Decimal(4), Decimal(0), 1)])
+    short = _summary(spark, [("POS", "d", "s", "q", Decimal(4), Decimal(0), 1)])
+    got = {r.build: r for r in build_evidence({"good": good, "short": short, "empty": good.limit(0)}, sales, {"gone": "why"}).collect()}
+    assert got["good"].failed == [] and got["good"].sale_lines == 2 and len(got["good"].contracts) == 2
+    assert len(got["short"].failed) == 2 and len(got["empty"].failed) == 2
+    assert got["gone"].gap == "why" and got["gone"].revenue_usd is None
 
 
 def test_quantity_fiscal_country_negative_controls(spark):

@@ -5,6 +5,7 @@ columns."""
 import pytest
 
 import __spark_entry__ as entry
+from tessera.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
@@ -15,7 +16,7 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_cross_join_no_python(spark, name):
     plan = _plan(entry.queries()[name](spark, SF))
     bad = [f for f in FORBIDDEN if f in plan]
@@ -43,14 +44,6 @@ def test_fx_grid_is_broadcast(spark):
     assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
 
 
-def test_line_items_partitioned_on_order_key_before_the_feeds(spark):
-    """The single-file line-item scan is split by an order-key exchange before
-    the order join and the wide feed projections (the exchange a sort-merge
-    join on the order key needs at volume)."""
-    plan = _plan(entry.queries()["silver_orders"](spark, SF))
-    assert "REPARTITION_BY_COL" in plan and "hashpartitioning(l_orderkey" in plan
-
-
 def test_checks_fold_rows_without_scalar_subqueries(spark):
     """Reconciliation and K14 compute each snapshot once: their plans hold no
     scalar subquery (one per figure would re-run the build it reads)."""
@@ -59,8 +52,9 @@ def test_checks_fold_rows_without_scalar_subqueries(spark):
     from tessera.plans.snapshot import measures_match_snapshot, reconcile
     one = Decimal(1)
     snaps = spark.createDataFrame(
-        [("a", one, one, 1), ("b", one, one, 2)],
-        "build string, revenue_usd decimal(29,4), cancelled_revenue_usd decimal(29,4), sale_lines bigint")
+        [("a", one, one, 1, ["c"], [], None), ("b", one, one, 2, ["c"], [], None)],
+        "build string, revenue_usd decimal(29,4), cancelled_revenue_usd decimal(29,4), sale_lines bigint, "
+        "contracts array<string>, failed array<string>, gap string")
     summary = spark.createDataFrame(
         [("FY27", "new", "Core", "POS", one, one, 1)],
         "fiscal_year_label string, customer_segment string, product_segment string, channel_system string, "
@@ -68,3 +62,12 @@ def test_checks_fold_rows_without_scalar_subqueries(spark):
     for df in [reconcile(snaps, "a"), measures_match_snapshot(summary)]:
         df.collect()
         assert "Subquery" not in _plan(df)
+
+
+def test_summary_groups_before_the_party_join(spark):
+    """Lines are summed per quarter, rollup and buyer before they are shuffled
+    to the party, and that leaves far fewer groups than lines."""
+    from tessera.plans.gold import GROUP_KEYS, _line_sums, _rolled_up
+    p = catalog._pm(spark, "/root/testdata/sf0.01", *catalog._SALES)
+    groups = _line_sums(_rolled_up(p.sales_lines, p.silver_product_hierarchy, True), [*GROUP_KEYS, "_sys", "_k"])
+    assert groups.count() < 0.8 * p.sales_lines.count()

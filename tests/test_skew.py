@@ -66,3 +66,32 @@ def test_hot_buyer_is_split_and_kept_whole(spark):
         assert "skew=true" in plan, plan
     finally:
         _restore(spark, old)
+
+
+def test_hot_order_key_is_split(spark):
+    """Line items of which one order holds a third: the order join of the
+    adapter is split by adaptive execution, and no line is lost."""
+    from tessera.sources.testdata import TestData
+    n = 60000
+    lines = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(2)).otherwise(F.col("id") % 5000 * 2).cast("long").alias("l_orderkey"),
+        F.col("id").alias("l_partkey"), F.col("id").alias("l_suppkey"), F.lit(1).alias("l_linenumber"),
+        F.lit(1.0).alias("l_quantity"), F.lit(2.0).alias("l_extendedprice"), F.lit(0.0).alias("l_discount"),
+        F.lit(0.0).alias("l_tax"), F.lit("N").alias("l_returnflag"))
+    orders = spark.range(5000).select(
+        (F.col("id") * 2).alias("o_orderkey"), F.col("id").alias("o_custkey"), F.lit("F").alias("o_orderstatus"),
+        F.current_timestamp().alias("o_orderdate"), F.lit("1-URGENT").alias("o_orderpriority"))
+    data = TestData(spark, "")
+    data._tables = {"lineitem": lines, "orders": orders}
+    old = _conf(spark, **{
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false"})
+    try:
+        df = data._lines.select("l_partkey", "o_custkey")
+        assert len(df.collect()) == n
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        _restore(spark, old)

@@ -1,7 +1,10 @@
 import os
 
+import pytest
+
 from tessera.session import scratch_path
 from tessera.sources import landing
+from tessera.sources.testdata import TestData
 from tessera.types import WEB_ORDER_DDL
 
 
@@ -23,10 +26,27 @@ def test_json_array_pages_and_malformed(spark):
                 '{"web_order_id":"W2","email":"b@x","placed_at":"t","status":"s","lines":[]}]\n')
         f.write('[{"web_order_id": broken\n')
         f.write('[{"web_order_id":"W3","email":"c@x","placed_at":"t","status":"s","lines":null}]\n')
-    rows = landing.read_json_array(spark, path, WEB_ORDER_DDL.replace("lines array", "lines array"))
+    rows = landing.read_json_array(spark, path, WEB_ORDER_DDL)
     assert sorted(r.web_order_id for r in rows.collect()) == ["W1", "W2", "W3"]
-    pages = landing.read_json_array(spark, path, WEB_ORDER_DDL, with_page_status=True)
-    assert pages.filter("records IS NULL").count() == 1
+    assert landing.malformed_pages(spark, path, WEB_ORDER_DDL).first().value == 1
+
+
+def test_csv_with_declared_schema_checks_the_header(spark):
+    df = spark.createDataFrame([("C1", "a")], "id string, email string")
+    path = scratch_path(spark, "test/csv")
+    landing.write_csv(df, path)
+    assert landing.read_csv(spark, path, "id string, email string").collect() == df.collect()
+    with pytest.raises(Exception, match="(?i)header"):
+        landing.read_csv(spark, path, "email string, id string").collect()
+
+
+def test_largest_basket_holds_several_lines(spark):
+    """Every order is one document, its lines in line order."""
+    t = TestData(spark, "/root/testdata/sf0.001")
+    orders = t.web_orders().collect()
+    assert len({o.web_order_id for o in orders}) == len(orders)
+    assert max(len(o.lines) for o in orders) > 1
+    assert all([l.line_no for l in o.lines] == sorted(l.line_no for l in o.lines) for o in orders)
 
 
 def test_json_array_writer_round_trip(spark):
