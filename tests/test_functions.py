@@ -72,3 +72,12 @@ def test_date_spine(spark):
     got = [r[0] for r in date_spine(b, name="d").orderBy("d").collect()]
     assert got == [dt.date(2026, 1, 30), dt.date(2026, 1, 31), dt.date(2026, 2, 1),
                    dt.date(2026, 2, 2), dt.date(2026, 5, 5)]
+
+
+def test_utc_date_without_offset_is_null(spark):
+    """A timestamp that names no instant has no UTC date, whatever the zone."""
+    df = spark.createDataFrame([("2026-07-01T03:30:00",), ("2026-07-01T03:30:00Z",), ("2026-07-01T03:30:00+08:00",),
+                                ("2026-07-01 23:30:00-0500",), ("2026-07-01",), ("",), (None,)], "s string")
+    import datetime as dt
+    assert [r[0] for r in df.select(utc_date("s")).collect()] == [
+        None, dt.date(2026, 7, 1), dt.date(2026, 6, 30), dt.date(2026, 7, 2), None, None, None]
