@@ -254,12 +254,13 @@ _DIRTY_QUOTES_SQL = """
 oracle.cte("fx_dirty_quotes", ["fx_quotes"], _DIRTY_QUOTES_SQL)
 oracle.cte("fx_dirty_daily", ["fx_dirty_quotes"], """
   SELECT d.rate_date, d.currency, q.rate_to_usd, q.rate_date AS quoted_on, q.rate_date <> d.rate_date AS rate_is_carried
-  FROM (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS rate_date, currency
-        FROM (SELECT min(rate_date) AS lo, max(rate_date) AS hi FROM fx_dirty_quotes),
-             (SELECT DISTINCT currency FROM fx_dirty_quotes)) d
-  JOIN fx_dirty_quotes q ON q.currency = d.currency AND q.rate_date <= d.rate_date
-  WHERE NOT EXISTS (SELECT 1 FROM fx_dirty_quotes later WHERE later.currency = d.currency
-                    AND later.rate_date <= d.rate_date AND later.rate_date > q.rate_date)""")
+  FROM (SELECT day.rate_date, day.currency, sent.rate_date AS quoted_on
+        FROM (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS rate_date, currency
+              FROM (SELECT min(rate_date) AS lo, max(rate_date) AS hi FROM fx_dirty_quotes),
+                   (SELECT DISTINCT currency FROM fx_dirty_quotes WHERE currency IS NOT NULL)) day
+        ASOF JOIN (SELECT DISTINCT currency, rate_date FROM fx_dirty_quotes) sent
+          ON sent.currency = day.currency AND day.rate_date >= sent.rate_date) d
+  JOIN fx_dirty_quotes q ON q.currency = d.currency AND q.rate_date = d.quoted_on""")
 
 
 def _dirty_quotes(p: Product) -> DataFrame:
