@@ -26,7 +26,7 @@ MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Words remembered by one task.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 
 
 class DoubleArray:
