@@ -26,19 +26,23 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _without(docs: DataFrame, judged: DataFrame, name: str) -> DataFrame:
-    """``docs`` without the ids that are not kept; only those ids are joined."""
-    gone = small_side(materialize(judged.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")), name))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
+    """``docs`` without the rows that are not kept.  A row is known by its id
+    and the digest of its text, since ids may be null or stand on several
+    texts; only ids and digests of rows that go are joined."""
+    lost = judged.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), F.unhex("text_sha256").alias("gone_sha"))
+    gone = small_side(materialize(lost.distinct(), name))
+    sha = F.unhex(F.sha2(F.coalesce(docs["text"], F.lit("")), 256))
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]) & (sha == gone["gone_sha"]), "left_anti")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of equal texts: the one with the largest id."""
-    return _without(docs, exact_dedup(docs), "exact_gone")
+    return _without(docs, exact_dedup(docs, digest=True), "exact_gone")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of SimHash near-duplicates: the smallest id."""
-    return _without(docs, simhash_dedup(docs, shingle=SHINGLE, distance=DISTANCE), "simhash_gone")
+    return _without(docs, simhash_dedup(docs, shingle=SHINGLE, distance=DISTANCE, digest=True), "simhash_gone")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -46,15 +46,17 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     return int(np.packbits(bits * 2 > len(array), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
-    """``id, fp`` of every row."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
+                 digest: bool = False) -> DataFrame:
+    """``id, fp`` of every row and, with ``digest``, ``sha`` of its text."""
     python_tasks(docs.sparkSession)
 
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
 
-    return docs.select(F.col(id_col).alias("id"), of(F.col(text_col)).alias("fp"))
+    sha = [F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("sha")] if digest else []
+    return docs.select(F.col(id_col).alias("id"), of(F.col(text_col)).alias("fp"), *sha)
 
 
 def block_keys(fp: Column, distance: int, blocks: int) -> list[Column]:
@@ -122,10 +124,10 @@ def fingerprint_links(fps: DataFrame, distance: int = 4, blocks: int | None = No
 
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
-                  distance: int = 4, blocks: int | None = None) -> DataFrame:
+                  distance: int = 4, blocks: int | None = None, digest: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, ``fp`` (signed 64 bits),
-    ``component_id`` (smallest id reachable over links, itself included) and
-    ``kept`` (the id is the component's).
+    ``component_id`` (smallest id reachable over links, itself included),
+    ``kept`` (the id is the component's) and, with ``digest``, ``text_sha256``.
 
     Null and empty texts have fingerprint 0, which links like any other; texts
     shorter than a shingle are hashed whole.  Rows repeated under one id are
@@ -133,7 +135,7 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     null ids only has a null ``component_id`` and is kept.  An empty table
     gives an empty result; other columns are not looked at.
     """
-    prints = materialize(fingerprints(docs, id_col, text_col, shingle), "simhash_fps")
+    prints = materialize(fingerprints(docs, id_col, text_col, shingle, digest), "simhash_fps")
     nodes = materialize(prints.groupBy("fp").agg(F.min("id").alias("rep")), "simhash_nodes")
     links = fingerprint_links(nodes.select("fp"), distance, blocks)
     comp = connected_components(links).select(F.col("node").alias("fp"), "component")
@@ -143,4 +145,5 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     by_fp = marked.join(least, "component").select("fp", "component_id")
     return (prints.join(by_fp, "fp", "left")
             .select(F.col("id").alias(id_col), "fp", "component_id",
-                    F.col("id").eqNullSafe(F.col("component_id")).alias("kept")))
+                    F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+                    *([F.col("sha").alias("text_sha256")] if digest else [])))

@@ -5,7 +5,7 @@ from tessera.llm.mixing import mix
 from tessera.llm.quality import ACCEPT, train
 from tessera.llm.sentencepiece import MODEL, Unigram
 from tessera.llm.piece_model import PieceModel
-from tests.llm.tables import awkward, empty
+from tests.llm.tables import awkward, documents, empty
 from tests.llm.test_simhash import plain_components, plain_fp
 
 SF = "/root/testdata/sf0.001"
@@ -42,3 +42,15 @@ def test_stages_keep_columns_and_take_awkward_rows(spark):
             assert out.columns == df.columns, name
         out.count()
         assert stage(spark, empty(df), SF).count() == 0, name
+
+
+def test_rows_go_by_id_and_text(spark):
+    near = [" ".join(f"w{k}" for k in range(400)) + end for end in ("", " more")]
+    assert 0 < (plain_fp(near[0]) ^ plain_fp(near[1])).bit_count() <= 4
+    rows = [(1, "copied text"), (None, "copied text"), (None, "only here, without an id"), (None, None),
+            (3, "copy of four"), (4, "copy of four"), (3, "three's other text, nowhere else")]
+    left = [tuple(r)[:2] for r in cp.exact(spark, documents(spark, rows), SF).collect()]
+    assert Counter(left) == Counter([rows[0], rows[2], rows[3], *rows[5:]])
+    rows = [(1, near[0]), (None, near[1]), (None, "far from it, without an id"), (8, near[1]), (8, "eight's other text, far from all")]
+    left = [tuple(r)[:2] for r in cp.near(spark, documents(spark, rows), SF).collect()]
+    assert Counter(left) == Counter([rows[0], rows[2], rows[4]])
