@@ -15,6 +15,8 @@ RAW = frozenset("script style textarea title iframe noscript".split())
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CHROME = frozenset("nav header footer aside form menu dialog".split())
 MAIN = frozenset("article main".split())
+#: Words that mark comments, whose articles are no main text.
+COMMENT_NAMES = frozenset("comment comments commentlist reply replies disqus respond".split())
 #: Words in class, id or role that mark what is not the article.
 CHROME_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion popup modal overlay cookie cookies "
@@ -24,8 +26,9 @@ CHROME_NAMES = frozenset(
     "contentinfo complementary".split())
 
 _tag = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*(?=>|\Z)|[^>]*)(?:>|\Z)", re.S)
-_name = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_hidden = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+_attribute = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_may_hide = re.compile("hidden|display", re.I)  # only then is it worth a closer look
+_no_display = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
 _space = re.compile(r"\s+")
 _words = re.compile(r"[^a-z]+")
 _layout = re.compile(r"\b(?:has|with|no|without)[-_]\w+")
@@ -36,19 +39,38 @@ _implied = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt",
 _closes_p = BLOCKS - {"body", "html", "head", "title", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "dd", "dt", "li"}
 
 
+def _attributes(raw: str) -> dict[str, str]:
+    """Attributes by name in lower case; the first of a name counts."""
+    found: dict[str, str] = {}
+    for m in _attribute.finditer(raw):
+        found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return found
+
+
+def _is_hidden(attributes: dict[str, str]) -> bool:
+    return ("hidden" in attributes or attributes.get("aria-hidden", "").strip().lower() == "true"
+            or bool(_no_display.search(attributes.get("style", ""))))
+
+
 def _zone(tag: str, attributes: str, here: str) -> str:
-    """The zone inside an element that stands in zone ``here``."""
-    if here == "silent" or tag in SILENT or (attributes and _hidden.search(attributes)):
+    """The zone inside an element that stands in zone ``here``.  ``soft`` is
+    chrome by a form or by a name, in which an article is still an article."""
+    if here == "silent" or tag in SILENT:
+        return "silent"
+    named = "=" in attributes and tag not in ("html", "body")
+    known = _attributes(attributes) if named or (attributes and _may_hide.search(attributes)) else {}
+    if known and _is_hidden(known):
         return "silent"
     if here == "chrome":
         return here  # an article inside a menu or among comments is part of that
-    if tag in CHROME and not (tag == "header" and here == "main"):
+    if tag in CHROME and tag != "form" and not (tag == "header" and here == "main"):
+        return "chrome"
+    words = {w for n in ("class", "id", "role") if n in known for w in _words.split(_layout.sub(" ", known[n].lower()))} if named else ()
+    if words and not COMMENT_NAMES.isdisjoint(words):
         return "chrome"
-    if "=" in attributes and tag not in ("html", "body"):
-        named = (m[1] or m[2] or m[3] or "" for m in _name.finditer(attributes))
-        if any(w in CHROME_NAMES for n in named for w in _words.split(_layout.sub(" ", n.lower()))):
-            return "chrome"
-    return "main" if tag in MAIN else here
+    if tag in MAIN:
+        return "main"
+    return "soft" if tag == "form" or (words and not CHROME_NAMES.isdisjoint(words)) else here
 
 
 def blocks(page: str) -> list[tuple[str, str]]:
@@ -67,7 +89,7 @@ def blocks(page: str) -> list[tuple[str, str]]:
     def flush() -> None:
         if parts:
             if zone != "silent" and (text := _space.sub(" ", html.unescape("".join(parts))).strip()):
-                out.append((zone, text))
+                out.append(("chrome" if zone == "soft" else zone, text))
             parts.clear()
 
     while True:

@@ -53,6 +53,17 @@ def test_broken_markup():
     assert main("<main>" + "<p>x</p>" * 20_000 + "</main>") == ["x"] * 20_000
 
 
+def test_articles_are_not_lost_by_loose_markup():
+    assert main('<article title="The hidden cost of x"><h2 data-note="display: none">a</h2><p aria-label="aria-hidden=true">b</p></article>') == ["a", "b"]
+    assert main("<article><p hidden>x</p><p style='color:red; display:none'>x</p><p aria-hidden=true>x</p><p>k</article>") == ["k"]
+    assert main("<form><div>Login</div><article>a</article><div>Send</div></form>") == ["a"]
+    for name in ("page sidebar-left", "share", "related", "legal", "notice"):
+        assert main(f"<div class='{name}'>x<main>a<div class='{name}'>y</div></main></div><main class='{name}'>b</main>") == ["a", "b"]
+    assert main("<div data-id='ad'><article>a<p data-class='ad'>b</article></div>") == ["a", "b"]
+    for wrap in ("nav", "aside", "footer", "div class='comments'"):
+        assert main(f"<{wrap}><div class='share'><article>no</article></div><form><article>no</article></form></{wrap.split()[0]}>") == []
+
+
 def page(main_lines, template=True):
     top = "<div>Our shop</div><div>Menu of things</div>" if template else ""
     return f"<html><body>{top}{''.join(f'<div>{x}</div>' for x in main_lines)}<div>Imprint</div></body></html>"
