@@ -1,8 +1,8 @@
 """Main text of web pages by differencing pages of neighbouring urls.
 
 Pages of one host in order of their url path are likely to share a template.
-Each page's lines (blocks of text) are aligned with those of the page before
-and the page behind by longest common subsequence, and lines that are shared
+Each page's lines (blocks of text) are aligned with those of the nearest page
+before and behind that is no copy of it by longest common subsequence, and lines that are shared
 go: they are the template's.  What the markup itself sets apart counts beside
 it: menus, adverts and the like are no text of the article even where each
 page has other ones, and lines inside an article element are the article's
@@ -23,7 +23,7 @@ from tessera.llm.url_filter import url_parts
 
 #: Pages that one task compares in a row.
 RUN = 512
-#: Two pages that share this much of their text are copies of one article, and say nothing on the template.
+#: Two pages that both share this much of their text are copies of one article, and say nothing on the template.
 COPY = 0.8
 
 
@@ -97,8 +97,8 @@ def main_text(lines: list[tuple[str, str]], shared) -> str:
 
 
 def _copies(sizes: tuple[np.ndarray, ...], shared: tuple[np.ndarray, ...]) -> bool:
-    """Whether either page shares most of its text outside menus and the like."""
-    return any(n.sum() and n[s].sum() >= COPY * n.sum() for n, s in zip(sizes, shared, strict=True))
+    """Whether both pages share most of their text outside menus and the like."""
+    return all(n.sum() and n[s].sum() >= COPY * n.sum() for n, s in zip(sizes, shared, strict=True))
 
 
 def page_lines(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
@@ -136,31 +136,86 @@ def url_order(lines: DataFrame) -> DataFrame:
             .drop("part", "before", "m"))
 
 
-def shared_lines(ordered: DataFrame) -> DataFrame:
-    """``id, url, page, shared``: for each line, whether the page before or
-    behind on the same host has it aligned."""
+def _parts(a: dict, b: dict) -> bool:
+    """Whether ``b``, the page behind ``a``, is of another host or no copy of it."""
+    if a["host"] != b["host"]:
+        return True
+    return not _copies((a["sizes"], b["sizes"]), common_lines(a["hashes"].tolist(), b["hashes"].tolist()))
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("place", ignore_index=True)
-        found = [np.zeros(len(h), bool) for h in pdf["hashes"]]
-        host, place = pdf["host"].tolist(), pdf["place"].tolist()
-        hashes, sizes = pdf["hashes"].tolist(), pdf["sizes"].tolist()
-        for k in range(1, len(pdf)):
-            if host[k] == host[k - 1] and place[k] == place[k - 1] + 1:
-                both = common_lines(hashes[k - 1].tolist(), hashes[k].tolist())
-                if not _copies((sizes[k - 1], sizes[k]), both):
-                    found[k - 1] |= both[0]
-                    found[k] |= both[1]
-        own = (pdf["place"] // RUN == pdf["run"]).to_numpy()
-        out = pdf.loc[own, ["id", "url", "page"]]
-        out["shared"] = pd.Series([f.tolist() for f, mine in zip(found, own, strict=True) if mine], index=out.index, dtype=object)
-        return out
 
+def _pages(pdf: pd.DataFrame) -> list[dict]:
+    """Rows in order of place; a page that is needed twice comes once."""
+    return pdf.sort_values("place").drop_duplicates("place").to_dict("records")
+
+
+def shared_lines(ordered: DataFrame) -> DataFrame:
+    """``id, url, page, shared``: for each line, whether the nearest page before
+    or behind on the same host that is no copy has it aligned.
+
+    Copies in a row are a group, and all its pages are compared with the page
+    before the group and the page behind it.  Groups may be longer than a run,
+    so a first pass finds each run's first and last place where a group starts,
+    which tells every run the pages that it needs from outside.
+    """
     run, within = F.floor(F.col("place") / RUN), F.col("place") % RUN
-    runs = F.filter(F.array(run, F.when(within == 0, run - 1), F.when(within == RUN - 1, run + 1)), lambda r: r.isNotNull())
-    dealt = ordered.withColumn("run", F.explode(runs))
-    kind = dealt.schema["id"].dataType.simpleString()
-    return dealt.groupBy("run").applyInPandas(compare, f"id {kind}, url string, page long, shared array<boolean>")
+    table = ordered.withColumn("run", run)
+    near = ordered.withColumn("run", F.explode(F.filter(F.array(run, F.when(within == RUN - 1, run + 1)), lambda r: r.isNotNull())))
+
+    def starts(pdf: pd.DataFrame) -> pd.DataFrame:
+        pages, number = _pages(pdf), int(pdf["run"].iloc[0])
+        own = [k for k, p in enumerate(pages) if p["place"] // RUN == number]
+        starts_group = lambda k: k == 0 or _parts(pages[k - 1], pages[k])
+        first = next((k for k in own if starts_group(k)), None)
+        last = None if first is None else next(k for k in reversed(own) if k == first or starts_group(k))
+        place = lambda k: None if k is None else pages[k]["place"]
+        return pd.DataFrame({"run": [number], "first": [place(first)], "last": [place(last)]}).astype({"first": "Int64", "last": "Int64"})[:len(own)]
+
+    # a row per run: the only window
+    found = materialize(near.select("run", "host", "place", "hashes", "sizes").groupBy("run")
+                        .applyInPandas(starts, "run long, first long, last long"), "html_starts")
+    before = F.last("last", ignorenulls=True).over(Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1))
+    behind = F.first("first", ignorenulls=True).over(Window.orderBy("run").rowsBetween(1, Window.unboundedFollowing))
+    at_once = F.when(F.col("first") == F.col("run") * RUN, F.col("first"))
+    needs = materialize(found.select(F.col("run").alias("to"), F.array(F.coalesce(at_once, before) - 1, behind).alias("ats"))
+                        .select("to", F.explode("ats").alias("at")).where("at >= 0"), "html_needs")
+    outside = ordered.join(small_side(needs), F.col("place") == F.col("at")).withColumn("run", F.col("to")).select(table.columns)
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        pages, number = _pages(pdf), int(pdf["run"].iloc[0])
+        own = [k for k, p in enumerate(pages) if p["place"] // RUN == number]
+        if not own:
+            return pd.DataFrame(columns=["id", "url", "page", "shared"])
+        marks = [np.zeros(len(p["hashes"]), bool) for p in pages]
+        # groups of own pages; the pages outside are the nearest that are no copies
+        groups, pair = [[own[0]]], {}
+        for k in own[1:]:
+            pair[k] = common_lines(pages[k - 1]["hashes"].tolist(), pages[k]["hashes"].tolist()) if pages[k - 1]["host"] == pages[k]["host"] else None
+            if pair[k] is not None and _copies((pages[k - 1]["sizes"], pages[k]["sizes"]), pair[k]):
+                groups[-1].append(k)
+            else:
+                groups.append([k])
+        for group in groups:
+            for other in (group[0] - 1, group[-1] + 1):
+                if not 0 <= other < len(pages) or pages[other]["host"] != pages[group[0]]["host"]:
+                    continue
+                known: dict[bytes, np.ndarray] = {}  # equal pages are compared once
+                for k in group:
+                    key = pages[k]["hashes"].tobytes()
+                    if key not in known:
+                        if other == k - 1 and k in pair:
+                            known[key] = pair[k][1]
+                        elif other == k + 1 and other in pair:
+                            known[key] = pair[other][0]
+                        else:
+                            known[key] = common_lines(pages[k]["hashes"].tolist(), pages[other]["hashes"].tolist())[0]
+                    marks[k] = marks[k] | known[key]
+        return pd.DataFrame({"id": pd.Series([pages[k]["id"] for k in own], dtype=pdf["id"].dtype), "url": [pages[k]["url"] for k in own],
+                             "page": [pages[k]["page"] for k in own],
+                             "shared": pd.Series([marks[k].tolist() for k in own], dtype=object)})
+
+    kind = table.schema["id"].dataType.simpleString()
+    return (table.unionByName(outside).groupBy("run")
+            .applyInPandas(compare, f"id {kind}, url string, page long, shared array<boolean>"))
 
 
 def html_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -169,12 +224,13 @@ def html_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     Null html counts as empty and gives an empty text.  Pages without a host
     are neighbours of one another.  Rows that repeat id, url and html are one
-    page, and each gets its text.  Pages that share most of their text are
-    copies and leave each other's lines alone.  An empty table gives an empty
-    result; other columns are not looked at.
+    page, and each gets its text.  Two pages that both share most of their text
+    are copies, leave each other's lines alone and are both compared with the
+    nearest pages that are none.  An empty table gives an empty result; other
+    columns are not looked at.
 
     Only hashes of lines are put in order and compared: runs of ``RUN`` pages,
-    each with its two neighbours outside, are a task's group.  The flags of
+    each with the two pages outside that it needs, are a task's group.  The flags of
     shared lines are joined back to the pages.
     """
     python_tasks(pages.sparkSession, 256)

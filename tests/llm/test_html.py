@@ -103,5 +103,21 @@ def test_runs_do_not_matter(spark, monkeypatch):
     assert sorted(tuple(r) for r in html_text(df.repartition(7)).collect()) == one
 
 
+def test_copies_are_compared_with_the_nearest_other_page(spark, monkeypatch):
+    import tessera.llm.html_text as m
+    own = lambda k: [f"one line of article {k}, {x}" * 3 for x in "abcd"]
+    rows = [(k, f"http://h.com/{k:03d}", page(own("copied" if 3 <= k < 33 else k))) for k in range(36)]
+    rows += [(40, "http://i.com/a", page(["short"])), (41, "http://i.com/b", page(own("long")))]  # the template is most of the short one
+    rows += [(50 + k, f"http://j.com/{k}", page(own("all copies"))) for k in range(7)]
+    df = spark.createDataFrame([(*r, "", "", "", "") for r in rows], SCHEMA)
+    for run in (512, 4, 1):
+        monkeypatch.setattr(m, "RUN", run)
+        got = {r.page_id: r.text for r in html_text(df).collect()}
+        for k in range(36):
+            assert got[k] == "\n".join(own("copied" if 3 <= k < 33 else k)), (run, k)
+        assert got[40] == "short" and got[41] == "\n".join(own("long"))
+        assert all(got[50 + k].startswith("Our shop") for k in range(7))  # nothing else to compare with
+
+
 def test_empty(spark):
     assert html_text(spark.createDataFrame([], SCHEMA)).count() == 0
