@@ -49,12 +49,15 @@ def host_edges(pages: DataFrame, host: Column, html_col: str) -> DataFrame:
             .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n")))
 
 
-def spread(seeds: DataFrame, edges: DataFrame, damping: float = 0.7, rounds: int = 10) -> DataFrame:
+def spread(seeds: DataFrame, edges: DataFrame, damping: float = 0.7, rounds: int | None = None,
+           tolerance: float = 1e-4) -> DataFrame:
     """``host, trust, distrust`` of all hosts in ``seeds`` (``host, trust0,
     distrust0``, unique hosts) or ``edges``.
 
-    ``x = (1 - damping) * seed + damping * inflow`` for ``rounds`` rounds,
-    after which at most ``damping ** rounds`` of the mass is still to move.
+    ``x = (1 - damping) * seed + damping * inflow`` until no host is further
+    than ``tolerance`` from the fixpoint, or for ``rounds`` rounds if given.
+    What all hosts change by shrinks by ``damping`` a round, so the sum of the
+    changes bounds what any host can still gather.
     Trust flows from source to target in proportion to the link counts,
     distrust the other way.  Each round is one join and one pre-aggregated sum.
     """
@@ -75,20 +78,26 @@ def spread(seeds: DataFrame, edges: DataFrame, damping: float = 0.7, rounds: int
         .groupBy("host").agg(F.max("trust0").alias("trust0"), F.max("distrust0").alias("distrust0")), "url_hosts")
     state = hosts.select("host", (F.col("trust0") * (1 - damping)).alias("trust"),
                          (F.col("distrust0") * (1 - damping)).alias("distrust"))
-    for k in range(rounds):
+    k, left = 0, float("inf")
+    while left > tolerance if rounds is None else k < rounds:
         inflow = (flow.join(state, flow["a"] == state["host"])
                   .groupBy("b").agg(F.sum(F.col("t") * F.col("trust")).alias("ti"),
                                     F.sum(F.col("d") * F.col("distrust")).alias("di")))
-        state = materialize(
+        new = materialize(
             hosts.join(inflow, F.col("host") == F.col("b"), "left")
             .select("host", (F.col("trust0") * (1 - damping) + F.coalesce(F.col("ti"), F.lit(0.0)) * damping).alias("trust"),
                     (F.col("distrust0") * (1 - damping) + F.coalesce(F.col("di"), F.lit(0.0)) * damping).alias("distrust")),
             f"url_round{k}")
+        if rounds is None:
+            old = state.select("host", F.col("trust").alias("t0"), F.col("distrust").alias("d0"))
+            moved = new.join(old, "host").agg(F.sum(F.abs(F.col("trust") - F.col("t0"))), F.sum(F.abs(F.col("distrust") - F.col("d0")))).first()
+            left = max(x or 0.0 for x in moved) * damping / (1 - damping)
+        state, k = new, k + 1
     return state
 
 
 def url_filter(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, id_col: str = "page_id",
-               url_col: str = "url", html_col: str = "html", damping: float = 0.7, rounds: int = 10,
+               url_col: str = "url", html_col: str = "html", damping: float = 0.7, rounds: int | None = None,
                threshold: float = 0.15) -> DataFrame:
     """One row per page: ``id_col, host, path, rule, verdict, trust, distrust``.
 
@@ -108,7 +117,7 @@ def url_filter(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, id_co
         F.avg(F.when(F.col("r.verdict") == "allow", 1.0).otherwise(0.0)).alias("trust0"),
         F.avg(F.when(F.col("r.verdict") == "block", 1.0).otherwise(0.0)).alias("distrust0")))
     edges = materialize(host_edges(pages, host, html_col), "url_edges")
-    scores = materialize(spread(seeds, edges, damping, rounds).withColumnRenamed("host", "h"), "url_scores")
+    scores = materialize(spread(seeds, edges, damping, rounds, threshold / 1000).withColumnRenamed("host", "h"), "url_scores")
     judged = urls.join(small_side(scores), F.col("host") == F.col("h"), "left")
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
     return judged.select(

@@ -71,3 +71,13 @@ def test_spread_against_plain_iteration(spark):
 
 def test_empty(spark):
     assert url_filter(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_spread_goes_on_to_the_fixpoint(spark):
+    n = 14
+    edges = spark.createDataFrame([(f"h{k:02d}", f"h{k + 1:02d}", 1) for k in range(n)], "src string, dst string, n long")
+    seeds = spark.createDataFrame([("h00", 1.0, 0.0), (f"h{n}", 0.0, 1.0)], "host string, trust0 double, distrust0 double")
+    got = {r.host: (r.trust, r.distrust) for r in spread(seeds, edges, 0.7).collect()}
+    for k in range(n + 1):
+        assert abs(got[f"h{k:02d}"][0] - 0.3 * 0.7 ** k) < 1e-4 and abs(got[f"h{k:02d}"][1] - 0.3 * 0.7 ** (n - k)) < 1e-4
+    assert got[f"h{n}"][0] > 0 and got["h00"][1] > 0
