@@ -24,7 +24,7 @@ from tessera.plans.expected import EXPECTED
 from tessera.plans.product import Product
 from tessera.plans.profiles import bronze_metrics, silver_metrics
 from tessera.plans.snapshot import against, figures, snapshot
-from tessera.sources import landing
+from tessera.sources import landing, tolerant
 from tessera.sources.testdata import LazyFeeds, TestData
 from tessera.types import (BRONZE_CONTRACT, POS_CUSTOMERS_SCHEMA, POS_ORDERS_SCHEMA, WEB_CUSTOMER_DDL,
                            WEB_ORDER_DDL, WEB_PRODUCT_DDL)
@@ -113,15 +113,17 @@ def land(spark: SparkSession, sf_dir: str, landing_dir: str, day: str) -> None:
 
 
 def read_landing(spark: SparkSession, landing_dir: str, day: str) -> dict[str, DataFrame]:
+    """The feeds of ``day``; text feeds with what their declared columns have
+    no place for (``sources.tolerant``)."""
     out = {}
     for name, (sub, kind) in LANDING.items():
         path = os.path.join(landing_dir, sub, day)
         if kind == "csv":
-            out[name] = landing.read_csv(spark, path, POS_CUSTOMERS_SCHEMA)
+            out[name] = tolerant.read_csv(spark, path, POS_CUSTOMERS_SCHEMA)
         elif kind == "json_lines":
-            out[name] = landing.read_json_lines(spark, path, POS_ORDERS_SCHEMA)
+            out[name] = tolerant.read_json_lines(spark, path, POS_ORDERS_SCHEMA)
         elif kind == "json_array":
-            out[name] = landing.read_json_array(spark, path, _DDL[name])
+            out[name] = tolerant.read_json_pages(spark, path, _DDL[name])
         else:
             out[name] = landing.read_parquet(spark, path)
     return out
@@ -131,18 +133,20 @@ def run_bronze(run: Run, landing_dir: str, day: str) -> dict:
     feeds = read_landing(run.spark, landing_dir, day)
     for name, df in feeds.items():
         run.lineage.append(("read", f"landing/{LANDING[name][0]}/{day}"))
-        run.save(df, name)
+        run.save(tolerant.sound(df) if "_corrupt" in df.columns else df, name)
+    # records that do not parse are kept beside the feeds, with their file
+    texts = {n: df for n, df in feeds.items() if "_corrupt" in df.columns}
+    run.save(union_all([df.where("_corrupt is not null").select(F.lit(n).alias("feed"), F.col("_file").alias("file"), F.col("_corrupt").alias("record"))
+                        for n, df in texts.items()]), "bronze_broken_records")
     landed = {n: run.spark.read.format(run.fmt).load(run.path(n)).columns for n in feeds}
     lacking = lacking_columns(run.spark, BRONZE_CONTRACT, landed).collect()
     if lacking:
         raise ValueError("bronze lacks columns that silver reads: " + "; ".join(
             f"{r['table_name']}.{r['column_name']}" + ("" if r["table_landed"] else " (table not landed)") for r in lacking))
-    # pages of JSON arrays that did not parse land no rows: count them
-    malformed = [
-        landing.malformed_pages(run.spark, os.path.join(landing_dir, LANDING[n][0], day), _DDL[n])
-        .select(F.lit(f"{n}_malformed_pages").alias("metric"), "value", F.lit(None).cast("string").alias("text"))
-        for n in feeds if LANDING[n][1] == "json_array"]
-    metrics = run.save_metrics(union_all([bronze_metrics(run.tables(feeds)), *malformed]), "bronze_ingest_metrics")
+    names = run.spark.createDataFrame([(n,) for n in texts], "feed string")
+    broken = (names.join(run.read("bronze_broken_records"), "feed", "left").groupBy("feed").agg(F.count("record").alias("value"))
+              .select(F.concat("feed", F.lit("_broken_records")).alias("metric"), "value", F.lit(None).cast("string").alias("text")))
+    metrics = run.save_metrics(union_all([bronze_metrics(run.tables(feeds)), broken]), "bronze_ingest_metrics")
     return {"rows": {n: run.rows[n] for n in feeds}, "metrics": metrics}
 
 

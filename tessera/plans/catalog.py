@@ -695,6 +695,10 @@ def contract_offenders(spark, sf_dir):
     return K.offenders(t.__getitem__).groupBy("contract", "value").agg(F.count("offender").alias("offending_rows"))
 
 
+# further queries, registered by being imported
+from tessera.plans import catalog_feeds  # noqa: E402, F401
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -14,6 +14,11 @@ WEB_FIELDS = {"bronze_web_customers": ["email", "full_name", "country", "signup_
               "bronze_web_orders": ["web_order_id", "email", "placed_at", "status", "lines"]}
 
 
+def _sent(df: DataFrame) -> list[str]:
+    """The feed's own columns: what the readers add begins with ``_``."""
+    return [c for c in df.columns if not c.startswith("_")]
+
+
 def bronze_metrics(b: dict[str, DataFrame]) -> DataFrame:
     cust, orders = b["bronze_pos_customers"], b["bronze_pos_orders"]
     fx, hier = b["bronze_ref_fx_rates"], b["bronze_ref_product_hierarchy"]
@@ -21,7 +26,7 @@ def bronze_metrics(b: dict[str, DataFrame]) -> DataFrame:
     numbers = union_all([
         metrics(cust, {"bronze_pos_customers": one,
                        "distinct_customers": F.count_distinct("customer_id"),
-                       "customer_columns": F.lit(len(cust.columns))}),
+                       "customer_columns": F.lit(len(_sent(cust)))}),
         metrics(orders, {"bronze_pos_orders": one, "distinct_orders": F.count_distinct("order_id")}),
         metrics(b["bronze_web_customers"], {"bronze_web_customers": one}),
         metrics(b["bronze_web_products"], {"bronze_web_products": one}),
@@ -40,7 +45,7 @@ def bronze_metrics(b: dict[str, DataFrame]) -> DataFrame:
     ])
     return union_all([
         numbers.withColumn("text", F.lit(None).cast("string")),
-        texts(cust, {"customer_column_names": F.lit(",".join(cust.columns))}),
+        texts(cust, {"customer_column_names": F.lit(",".join(_sent(cust)))}),
         *[texts(b[t], {f"{t}_blank_columns": blank_fields(b[t], t, fields)}) for t, fields in WEB_FIELDS.items()],
     ])
 

@@ -60,6 +60,17 @@ def write_csv(df: DataFrame, path: str) -> None:
        .csv(path))
 
 
+def write_raw_csv(lines: DataFrame, header: str, path: str) -> None:
+    """Land ready-made CSV lines (one string column), a header in every file:
+    what a vendor sends who does not quote.  Nothing is shuffled."""
+    def with_header(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame({"value": [header]})
+        for b in batches:
+            yield pd.DataFrame({"value": b.iloc[:, 0]})
+
+    lines.mapInPandas(with_header, "value string").write.mode("overwrite").text(path)
+
+
 def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 

@@ -13,7 +13,7 @@ def test_full_build_end_to_end(spark):
     b = out["bronze"]["rows"]
     assert b["bronze_pos_customers"] == out["bronze"]["metrics"]["bronze_pos_customers"] > 0
     assert out["bronze"]["metrics"]["web_orders_has_lines"] == 1
-    assert out["bronze"]["metrics"]["bronze_web_orders_malformed_pages"] == 0
+    assert out["bronze"]["metrics"]["bronze_web_orders_broken_records"] == 0
     s = out["silver"]["metrics"]
     assert s["party_matched"] + s["party_pos_only"] + s["party_web_only"] == s["silver_party"]
     snap = out["gold"]["snapshot"]
