@@ -84,6 +84,44 @@ def test_cache_may_be_dropped(monkeypatch):
     assert [small.encode([t])[0].tolist() for t in texts] == want
 
 
+def test_a_hash_of_two_words_is_noticed(monkeypatch):
+    texts = ["ab a", "ca b", "abc", "aa"]
+    want = [a.tolist() for a in Unigram(toy()).encode(texts)]
+    u = Unigram(toy())
+    whole = u._hashes
+    monkeypatch.setattr(u, "_hashes", lambda *x: [h * 0 if k == 0 and u.seed < 2 else h for k, h in enumerate(whole(*x))])
+    assert [a.tolist() for a in u.encode(texts)] == want and u.seed == 2
+
+
+@pytest.mark.parametrize("letters", ["a", "abc", "ab日\nx"])
+def test_long_words(monkeypatch, letters):
+    import tessera.llm.sentencepiece as m
+    r = random.Random(5)
+    model, texts = toy(), ["".join(r.choice(letters) for _ in range(700)) for _ in range(4)]
+    for long in (3, 50, 1000):
+        monkeypatch.setattr(m, "LONG", long)
+        assert [a.tolist() for a in Unigram(model).encode(texts)] == [plain(model, t) for t in texts]
+
+
+@pytest.mark.skipif(not os.path.exists(MODEL), reason="no model file")
+def test_a_text_without_spaces_takes_no_longer_than_ten_times_one_with():
+    import time
+    r = random.Random(2)
+    with open(MODEL, "rb") as f:
+        model = PieceModel.read(f.read())
+    text = "".join(r.choice("etaoinshrdlu") + (" " if r.random() < 0.2 else "") for _ in range(300_000))
+
+    def seconds(t):
+        u, at = Unigram(model), time.process_time()
+        ids = u.encode([t])[0]
+        spent = time.process_time() - at
+        assert u.decode(ids) == t
+        return spent
+    spaced = seconds(text)
+    assert seconds(text.replace(" ", "")) < 10 * spaced
+    assert seconds("ab" * 150_000) < 10 * spaced
+
+
 def test_broken_bytes_decode_to_replacement():
     u = Unigram(toy())
     ids = [u.bytes[b] for b in b"\xe6\x97" + "é".encode() + b"\xff"]
