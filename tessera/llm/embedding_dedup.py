@@ -45,33 +45,39 @@ def budgets(dim: int, blocks: int, cosine: float) -> np.ndarray:
     return (2 - 2 * cosine) * np.diff(cuts) / dim * (1 + SLACK) + SLACK
 
 
-def _turned(arrays, dim: int, seed: int) -> np.ndarray:
+def _units(arrays) -> np.ndarray:
+    """The given vectors at length one."""
     x = np.stack([np.asarray(a, dtype=np.float64) for a in arrays])
     x = x / np.abs(x).max(axis=1, keepdims=True)
-    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
+def _turned(x: np.ndarray, dim: int, seed: int) -> np.ndarray:
     r = rotation(dim, seed)
     # row by row sums of one fixed order: the same values in whatever batch a row comes
     return np.concatenate([(x[k:k + 256, None, :] * r[None]).sum(axis=-1) for k in range(0, len(x), 256)])
 
 
 def slabs(reps: DataFrame, cosine: float, blocks: int, seed: int) -> DataFrame:
-    """``id, cnt, dim, block, slab, v`` (the turned unit vector) per block."""
+    """``id, cnt, dim, block, slab, v`` (the vector as given) per block."""
+    kind = reps.schema["v"].dataType.simpleString()
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for dim, part in pdf.groupby(pdf["v"].map(len)):
-                y = _turned(part["v"], dim, seed)
+                y = _turned(_units(part["v"]), dim, seed)
                 width = np.sqrt(budgets(dim, blocks, cosine))
                 for b, start in enumerate(block_cuts(dim, blocks)[:-1]):
                     yield pd.DataFrame({"id": part["id"].to_numpy(), "cnt": part["cnt"].to_numpy(), "dim": dim, "block": b,
-                                        "slab": np.floor(y[:, start] / width[b]).astype(np.int64), "v": list(y)})
+                                        "slab": np.floor(y[:, start] / width[b]).astype(np.int64), "v": part["v"].to_numpy()})
 
-    return reps.mapInPandas(deal, "id long, cnt long, dim int, block int, slab long, v array<double>")
+    return reps.mapInPandas(deal, f"id long, cnt long, dim int, block int, slab long, v {kind}")
 
 
-def _pairs(a: np.ndarray, b: np.ndarray | None, block: int, cuts: list[int], most: np.ndarray, cosine: float):
-    """Verified pairs ``(i, j)`` of rows of ``a`` and ``b`` (of ``a`` with
-    itself if ``b`` is None) that this block is the first to find."""
+def _pairs(a: np.ndarray, b: np.ndarray | None, ua: np.ndarray, ub: np.ndarray, block: int, cuts: list[int], most: np.ndarray, cosine: float):
+    """Pairs ``(i, j)`` of the turned rows of ``a`` and ``b`` (of ``a`` with
+    itself if ``b`` is None) that this block is the first to find, verified by
+    the given vectors ``ua`` and ``ub``."""
     within = slice(cuts[block], cuts[block + 1])
     other = a if b is None else b
     fa, fo = a[:, within].astype(np.float32), other[:, within].astype(np.float32)
@@ -92,12 +98,12 @@ def _pairs(a: np.ndarray, b: np.ndarray | None, block: int, cuts: list[int], mos
                 d *= d
                 by_block = np.stack([d[:, u:v].sum(1) for u, v in zip(cuts, cuts[1:], strict=False)], axis=1)
                 first = np.argmax(by_block <= most, axis=1)
-                found = (by_block[:, block] <= most[block]) & (first == block) & ((a[p] * other[q]).sum(1) >= cosine)
+                found = (by_block[:, block] <= most[block]) & (first == block) & ((ua[p] * ub[q]).sum(1) >= cosine)
                 if found.any():
                     yield p[found], q[found]
 
 
-def vector_links(points: DataFrame, cosine: float, blocks: int) -> DataFrame:
+def vector_links(points: DataFrame, cosine: float, blocks: int, seed: int) -> DataFrame:
     """``id, root, links``: per group of compared points, each linked point's
     links there (weighed by ``cnt``) and the root of its local component."""
     home = ["dim", "block", "slab"]
@@ -123,11 +129,12 @@ def vector_links(points: DataFrame, cosine: float, blocks: int) -> DataFrame:
         n, k = len(pdf), int(left.sum())
         if k == 0 or n < 2 or (k == n and not (g == 0 and lo == hi)):
             return pd.DataFrame({"id": [], "root": [], "links": []}).astype("int64")
-        y, cnt, ids = np.stack(pdf["v"].to_numpy()), pdf["cnt"].to_numpy(), pdf["id"].to_numpy()
+        units, cnt, ids = _units(pdf["v"]), pdf["cnt"].to_numpy(), pdf["id"].to_numpy()
+        y = _turned(units, dim, seed)
         links = np.zeros(n, dtype=np.int64)
 
         def pairs():
-            for i, j in _pairs(y[:k], y[k:] if k < n else None, block, cuts, most, cosine):
+            for i, j in _pairs(y[:k], y[k:] if k < n else None, units[:k], units[k:] if k < n else units, block, cuts, most, cosine):
                 j = j + k if k < n else j
                 np.add.at(links, i, cnt[j])
                 np.add.at(links, j, cnt[i])
@@ -150,7 +157,10 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     empty, zero or hold null or non-finite components link with nothing;
     vectors of different length neither.  Equal vectors are compared once, as
     one point of that weight, so repeated rows are linked vectors like any
-    others.  Ids are integers.  An empty table gives an empty result.
+    others.  Ids are integers; rows of one id may have different vectors, each
+    with its own links.  A row without an id links and is counted like others;
+    its id is no component's smallest, a component of such rows only has a null
+    ``component_id`` and all are kept.  An empty table gives an empty result.
 
     A slab is cut into chunks of at most about ``CHUNK`` points and every task
     compares two chunks in tiles; it returns one row per linked point, never
@@ -162,18 +172,20 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         & F.exists("v", lambda x: x != 0), F.lit(False))
     rows = rows.withColumn("ok", fine)
-    good = rows.where("ok and id is not null").select("id", "v")
-    reps = materialize(good.groupBy("v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("cnt")), "emb_reps")
-    points = materialize(slabs(reps, cosine, blocks, seed), "emb_points")
-    found = materialize(vector_links(points, cosine, blocks), "emb_links")
+    good = rows.where("ok").select("id", "v")
+    # a distinct vector is a node of its own; ids only tell at last which of a component's is the smallest
+    reps = (good.groupBy("v").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("cnt"))
+            .withColumn("id", F.monotonically_increasing_id()))
+    reps = materialize(reps, "emb_reps")
+    points = materialize(slabs(reps.select("id", "cnt", "v"), cosine, blocks, seed), "emb_points")
+    found = materialize(vector_links(points, cosine, blocks, seed), "emb_links")
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
     comp = connected_components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    marks = (reps.select("id", "cnt", "v").join(counts, "id", "left")
-             .join(comp.select(F.col("node").alias("id"), "component"), "id", "left")
-             .select("v", (F.coalesce("links", F.lit(0)) + F.col("cnt") - 1).alias("n"),
-                     F.coalesce("component", "id").alias("root")))
-    linked = good.join(marks, "v", "left").select("id", "n", "root")
-    alone = rows.where("not ok or id is null").select("id", F.lit(0).cast("long").alias("n"), F.col("id").alias("root"))
+    marks = materialize(reps.join(counts, "id", "left").join(comp.select(F.col("node").alias("id"), "component"), "id", "left").select(
+        "v", "least", (F.coalesce("links", F.lit(0)) + F.col("cnt") - 1).alias("n"), F.coalesce("component", "id").alias("component")), "emb_marks")
+    roots = marks.groupBy("component").agg(F.min("least").alias("root"))
+    linked = good.join(marks.join(roots, "component").select("v", "n", "root"), "v").select("id", "n", "root")
+    alone = rows.where("not ok").select("id", F.lit(0).cast("long").alias("n"), F.col("id").alias("root"))
     return linked.unionByName(alone).select(
         F.col("id").alias(id_col), F.col("n").cast("long").alias("n_links"), F.col("root").alias("component_id"),
         F.col("id").eqNullSafe(F.col("root")).alias("kept"))

@@ -77,6 +77,32 @@ def test_repeated_rows_are_linked_vectors(spark):
     assert sorted(tuple(r) for r in embedding_dedup(df).collect()) == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False)]
 
 
+def test_repeated_and_null_ids_with_different_vectors(spark):
+    r = np.random.default_rng(8)
+    rows = []
+    for k in range(160):
+        v = r.standard_normal(8) if k % 3 == 0 or k < 3 else np.array(rows[r.integers(len(rows))][1]) + 0.1 * r.standard_normal(8)
+        rows.append((None if k % 7 == 0 else k % 40, [float(x) for x in np.float32(v)]))
+    rows += [(5, [1.0] + [0.0] * 7), (5, [0.0, 1.0] + [0.0] * 6), (61, [2.0] + [0.0] * 7), (62, [0.0, 3.0] + [0.0] * 6), (None, None), (None, None)]
+    # rows by number, so that the plain version has one id per row
+    x = [None if v is None else np.array(v) / np.linalg.norm(v) for _, v in rows]
+    links = [[j for j in range(len(rows)) if j != i and x[i] is not None and x[j] is not None and x[i] @ x[j] >= 0.95] for i in range(len(rows))]
+    want = []
+    for i, (name, _) in enumerate(rows):
+        seen, todo = {i}, [i]
+        while todo:
+            for j in links[todo.pop()]:
+                if j not in seen:
+                    seen.add(j)
+                    todo.append(j)
+        low = min((rows[j][0] for j in seen if rows[j][0] is not None), default=None)
+        want.append((name, len(links[i]), low, name == low))
+    df = spark.createDataFrame([(i, v, 0, "", "") for i, v in rows], SCHEMA)
+    got = [tuple(t) for t in embedding_dedup(df).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert {n for i, n, *_ in got if i == 5} != {2}
+
+
 def test_budgets_cover_the_whole_distance():
     for dim in (1, 3, 16, 64):
         assert budgets(dim, 4, 0.95).sum() >= 0.1 and block_cuts(dim, 4)[-1] == dim
