@@ -38,17 +38,17 @@ def sieve_of(keys: DataFrame, key: str, kind: str) -> DataFrame:
 
 
 def _marked(rows: DataFrame, key: Column, sieve: DataFrame) -> DataFrame:
-    bits = _bits(F.col("_key"))
-    return (rows.withColumn("_key", key).withColumn("_slot", _slot(F.col("_key")))
-            .join(F.broadcast(sieve.select(F.col("slot").alias("_slot"), F.col("bits").alias("_bits"))), "_slot", "left")
-            .withColumn("_may", F.coalesce(F.col("_bits").bitwiseAND(bits) == bits, F.lit(False))))
+    bits = _bits(F.col("sieve key"))
+    return (rows.withColumn("sieve key", key).withColumn("sieve slot", _slot(F.col("sieve key")))
+            .join(F.broadcast(sieve.select(F.col("slot").alias("sieve slot"), F.col("bits").alias("sieve bits"))), "sieve slot", "left")
+            .withColumn("sieve may", F.coalesce(F.col("sieve bits").bitwiseAND(bits) == bits, F.lit(False))))
 
 
 def passes(rows: DataFrame, key: Column, sieve: DataFrame) -> DataFrame:
     """The rows whose key may be one of the sieve's."""
-    return _marked(rows, key, sieve).where("_may").drop("_slot", "_bits", "_key", "_may")
+    return _marked(rows, key, sieve).where(F.col("sieve may")).drop("sieve slot", "sieve bits", "sieve key", "sieve may")
 
 
 def stays(rows: DataFrame, key: Column, sieve: DataFrame) -> DataFrame:
     """The rows whose key is none of the sieve's."""
-    return _marked(rows, key, sieve).where("not _may").drop("_slot", "_bits", "_key", "_may")
+    return _marked(rows, key, sieve).where(~F.col("sieve may")).drop("sieve slot", "sieve bits", "sieve key", "sieve may")
