@@ -26,6 +26,23 @@ def utc_date(iso_ts) -> Column:
     return F.date_from_unix_date(F.floor(secs / F.lit(86400)).cast("int"))
 
 
+#: Why a time names no day, first match wins.
+MISSING_TIME, UNPARSEABLE_TIME, TIME_WITHOUT_OFFSET = "missing_time", "unparseable_time", "time_without_offset"
+
+
+def parsed_utc_date(iso_ts) -> Column:
+    """``struct(value, error)``: the UTC date of an ISO-8601 time with an
+    offset, or why there is none.  Exactly one of the two is NULL, and nothing
+    raises, whatever the text is."""
+    ts = _c(iso_ts)
+    at = F.try_to_timestamp(ts)
+    offset = ts.rlike("[0-9](?:[zZ]|[+-][0-9]{2}(?::?[0-9]{2})?)\\s*$") & ts.rlike(":")
+    error = (F.when(ts.isNull() | (F.trim(ts) == ""), MISSING_TIME).when(at.isNull(), UNPARSEABLE_TIME)
+             .when(~offset, TIME_WITHOUT_OFFSET))
+    day = F.date_from_unix_date(F.floor(F.unix_seconds(at) / F.lit(86400)).cast("int"))
+    return F.struct(F.when(error.isNull(), day).alias("value"), error.alias("error"))
+
+
 def fiscal_columns(date_col) -> dict[str, Column]:
     """The fiscal calendar of a date (year starting 1 April), as named columns.
 

@@ -55,3 +55,17 @@ def completeness(df: DataFrame, rules: Sequence[tuple[str, Column]]) -> DataFram
         F.count_if(bad).alias("n_rejected"),
         F.count_if(bad.isNull()).alias("n_unclassified"),
     )
+
+
+def routed(df: DataFrame, rules: Sequence[tuple[str, Column]], path: str, fmt: str = "parquet",
+           accepted: str = "accepted", verdict_col: str = "verdict") -> DataFrame:
+    """Write all rows once, partitioned by ``verdict_col``: ``accepted``, the
+    reason of the first rule that holds, or ``unclassified`` where the rules
+    are NULL.  The table is returned; both sides of a split are reads of it that
+    open their own folders only (``verdict = 'accepted'``, and the rest), and
+    the rules are evaluated once."""
+    bad = bad_predicate(rules)
+    verdict = F.when(bad, reason(rules)).when(~bad, accepted).otherwise(UNCLASSIFIED)
+    df.withColumn(verdict_col, verdict).write.mode("overwrite").partitionBy(verdict_col).format(fmt).save(path)
+    schema = df.withColumn(verdict_col, F.lit("")).schema
+    return df.sparkSession.read.schema(schema).format(fmt).load(path)

@@ -14,10 +14,10 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.contracts import lacking_columns, money_type_offenders
+from tessera.operators.contracts import Observed, lacking_columns, money_type_offenders
 from tessera.operators.profile import union_all
 from tessera.plans import contract_suite
 from tessera.plans.expected import EXPECTED
@@ -37,15 +37,17 @@ class Run:
     fmt: str = "parquet"
     lineage: list[tuple[str, str]] = field(default_factory=list)
     rows: dict[str, int] = field(default_factory=dict)
+    observed: dict[str, int] = field(default_factory=dict)
 
     def path(self, name: str) -> str:
         return os.path.join(self.root, name)
 
     def save(self, df: DataFrame, name: str) -> int:
-        obs = Observation(name)
-        (df.observe(obs, F.count(F.lit(1)).alias("rows"))
-           .write.format(self.fmt).mode("overwrite").save(self.path(name)))
-        n = int(obs.get["rows"])
+        """Write a table; its rows and row-level contracts are counted in the write."""
+        seen = Observed(df, name, contract_suite.SILVER_CHECKS + contract_suite.GOLD_CHECKS, contract_suite.row_counts(name))
+        seen.frame.write.format(self.fmt).mode("overwrite").save(self.path(name))
+        n = seen.rows
+        self.observed.update(seen.counts)
         self.lineage.append(("write", name))
         self.rows[name] = n
         return n
@@ -170,6 +172,7 @@ def run_gold(run: Run, expected: dict[str, str] | None = None) -> dict:
     """``expected``: the figures that the snapshot must publish, if known for
     the input; a figure that does not is a failed contract."""
     p = Recorded(run, {}, Product.SILVER, summary_from="sales")
+    p.observed = run.observed
     for name in GOLD_ORDER:
         run.save(p.model(name), name)
         p.use(name, run.read(name), run.path(name))  # later models read the written table

@@ -1,12 +1,21 @@
-"""Registered queries on landing feeds that differ from what is declared."""
+"""Registered queries on feeds that differ from what is declared, on times
+that do not parse, as-of on timestamps, and stored builds that differ."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.plans import oracle
+from tessera.operators.asof_ranges import asof_join
+from tessera.operators.contracts import bucketed, evaluate
+from tessera.operators.profile import union_all
+from tessera.operators.quarantine import routed
+from tessera.operators.treediff import tree_difference
+from tessera.plans import contract_suite as K
+from tessera.plans import oracle, silver
 from tessera.plans.catalog import query
+from tessera.plans.product import Product
+from tessera.plans.publish import Store, bound
 from tessera.session import scratch_path
 from tessera.sources import landing, tolerant
 from tessera.sources.testdata import TestData
@@ -135,3 +144,123 @@ FROM (
 def json_schema_drift(spark, sf_dir):
     """What the order feed's records hold, against what is declared."""
     return tolerant.schema_drift(spark, _drifted_orders(spark, sf_dir), POS_ORDERS_SCHEMA)
+
+
+# --- as-of on timestamps ---------------------------------------------------------------
+_ASOF_KEY = "CASE WHEN event_id % 3 = 0 THEN CAST(0 AS BIGINT) ELSE user_id END"
+
+
+@query("asof_events", f"""
+WITH e AS (SELECT event_id, {_ASOF_KEY} AS k, ts, event_type, value FROM events),
+     q AS (SELECT k, ts AS bought_at, max(value) AS price FROM e WHERE event_type = 'purchase' GROUP BY k, ts)
+SELECT f.event_id, f.k, f.ts, q.bought_at, q.price
+FROM (SELECT * FROM e WHERE event_type <> 'purchase') f ASOF LEFT JOIN q ON q.k = f.k AND f.ts >= q.bought_at""")
+def asof_events(spark, sf_dir):
+    """Every other event with the last purchase of its key at or before it, to
+    the microsecond; one key has a third of all rows."""
+    e = TestData(spark, sf_dir).table("events").selectExpr("event_id", f"{_ASOF_KEY} AS k", "ts", "event_type", "value")
+    bought = e.where("event_type = 'purchase'").selectExpr("k", "ts AS bought_at", "value AS price")
+    return asof_join(e.where("event_type <> 'purchase'").select("event_id", "k", "ts"), bought, "k", "ts", "bought_at", ["price"])
+
+
+# --- days that do not parse, and the routed sink ------------------------------------------
+_TIMES_SQL = """CASE WHEN n % 31 = 2 THEN NULL WHEN n % 31 = 3 THEN 'soon' WHEN n % 31 = 5 THEN substr(placed_at, 1, 19)
+       WHEN n % 31 = 7 THEN '' WHEN n % 31 = 11 THEN '2026-13-45T00:00:00Z' ELSE placed_at END"""
+_REASON_SQL = """CASE WHEN n % 31 IN (2, 7) THEN 'missing_time' WHEN n % 31 IN (3, 11) THEN 'unparseable_time'
+       WHEN n % 31 = 5 THEN 'time_without_offset' ELSE 'accepted' END"""
+
+
+@query("quarantine_web_times", oracle.with_ctes(f"""
+SELECT verdict, CAST(count(*) AS BIGINT) AS lines, CAST(count(order_date) FILTER (WHERE verdict = 'accepted') AS BIGINT) AS dated,
+       CAST(sum(amount) AS DECIMAL(29,4)) AS amount
+FROM (SELECT *, {_REASON_SQL} AS verdict FROM (SELECT *, CAST(substr(web_order_id, 2) AS BIGINT) AS n FROM silver_web_order_lines))
+GROUP BY verdict""", ["silver_web_order_lines"]))
+def quarantine_web_times(spark, sf_dir):
+    """A storefront feed with missing, broken and offset-less times: lines and
+    amounts per verdict add up to all lines and their revenue."""
+    baskets = TestData(spark, sf_dir).web_orders().withColumn("n", F.expr("CAST(substr(web_order_id, 2) AS BIGINT)"))
+    baskets = baskets.withColumn("placed_at", F.expr(_TIMES_SQL)).drop("n")
+    good, lost = silver.web_order_lines_checked({"bronze_web_orders": baskets})
+    lines = good.select(F.lit("accepted").alias("verdict"), "order_date", "amount").unionByName(
+        lost.select(F.col("quarantine_reason").alias("verdict"), F.lit(None).cast("date").alias("order_date"), "amount"))
+    return lines.groupBy("verdict").agg(F.count(F.lit(1)).alias("lines"), F.count("order_date").alias("dated"),
+                                        F.sum("amount").cast("decimal(29,4)").alias("amount"))
+
+
+@query("quarantine_routed", oracle.with_ctes("""
+SELECT verdict, CAST(count(*) AS BIGINT) AS orders, CAST(sum(quantity) AS BIGINT) AS units, CAST(count(unit_price) AS BIGINT) AS priced
+FROM (SELECT *, CASE WHEN quantity <= 0 THEN 'non_positive_quantity' WHEN unit_price IS NULL THEN 'missing_unit_price'
+                     WHEN quantity > 0 THEN 'accepted' ELSE 'unclassified' END AS verdict FROM pos_latest) GROUP BY verdict""", ["pos_latest"]))
+def quarantine_routed(spark, sf_dir):
+    """Latest orders written once by verdict; both sides are pruned reads of it."""
+    table = routed(Product.from_testdata(spark, sf_dir).latest_orders, silver.quarantine_rules(), scratch_path(spark, "routed/orders"))
+    ok, rest = table.where("verdict = 'accepted'"), table.where("verdict <> 'accepted'")
+    return ok.unionByName(rest).groupBy("verdict").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("quantity").alias("units"), F.count("unit_price").alias("priced"))
+
+
+# --- two stored builds that differ -----------------------------------------------------------
+@query("build_difference", oracle.with_ctes("""
+SELECT order_id, quantity, unit_price, side, CAST(count(*) AS BIGINT) AS times FROM (
+  SELECT order_id, quantity, unit_price, 'a' AS side FROM silver_orders WHERE CAST(substr(order_id, 2) AS BIGINT) % 997 = 1
+  UNION ALL
+  SELECT order_id, quantity + 1, unit_price, 'b' FROM silver_orders WHERE CAST(substr(order_id, 2) AS BIGINT) % 997 = 1
+  UNION ALL
+  SELECT order_id, quantity, unit_price, 'a' FROM silver_orders WHERE CAST(substr(order_id, 2) AS BIGINT) % 1499 = 2) GROUP BY ALL""", ["silver_orders"]))
+def build_difference(spark, sf_dir):
+    """Accepted orders of two stored runs, the second with some quantities
+    changed and some orders missing: exactly those rows."""
+    n, runs = "CAST(substr(order_id, 2) AS BIGINT)", []
+    a = Product.from_testdata(spark, sf_dir).materialize("silver_orders").silver_orders
+    b = a.where(f"{n} % 1499 <> 2").withColumn("quantity", F.expr(f"CASE WHEN {n} % 997 = 1 THEN quantity + 1 ELSE quantity END"))
+    for run, df in (("a", a), ("b", b)):
+        path = scratch_path(spark, f"runs/{run}/silver_orders")
+        df.write.parquet(path)
+        runs.append(spark.read.schema(df.schema).parquet(path))
+    found = tree_difference(*runs, ["order_id"])
+    return found.select("order_id", "quantity", "unit_price", "side", "times")
+
+
+# --- stored tables: buckets, and builds published whole ------------------------------------
+_BUCKETED = [c for c in K.BRONZE_CHECKS if c.test == "relationships" or (c.table, c.test) == ("bronze_pos_customers", "unique")]
+
+
+@query("contract_bucketed", oracle.with_ctes("""
+SELECT 'unique_bronze_pos_customers_customer_id' AS contract,
+       CAST((SELECT count(*) FROM (SELECT customer_id FROM bronze_pos_customers GROUP BY 1 HAVING count(*) > 1)) AS BIGINT) AS failures
+UNION ALL
+SELECT 'relationships_bronze_pos_orders_product_id', CAST(count(*) AS BIGINT) FROM bronze_pos_orders
+WHERE product_id NOT IN (SELECT product_id FROM bronze_ref_product_hierarchy)""",
+    ["bronze_pos_customers", "bronze_pos_orders", "bronze_ref_product_hierarchy"]))
+def contract_bucketed(spark, sf_dir):
+    """Uniqueness and orphans on tables stored by the key: no row is exchanged."""
+    return evaluate(_bucketed_feeds(spark, sf_dir).__getitem__, _BUCKETED, stored_by_key=True).select("contract", "failures")
+
+
+def _bucketed_feeds(spark, sf_dir: str, buckets: int = 8) -> dict[str, DataFrame]:
+    t = TestData(spark, sf_dir)
+    return {"bronze_pos_customers": bucketed(t.pos_customers(), "customer_id", buckets),
+            "bronze_pos_orders": bucketed(t.pos_orders(), "product_id", buckets),
+            "bronze_ref_product_hierarchy": bucketed(t.product_hierarchy(), "product_id", buckets)}
+
+
+_PUBLISHED = ["bronze_web_customers", "bronze_web_orders", "bronze_pos_customers"]
+
+
+@query("published_by_name", oracle.with_ctes("""
+SELECT 'silver_customers' AS model, CAST(count(*) AS BIGINT) AS n FROM silver_customers
+UNION ALL SELECT 'silver_web_customers', count(*) FROM silver_web_customers
+UNION ALL SELECT 'silver_web_order_lines', count(*) FROM silver_web_order_lines""",
+    ["silver_customers", "silver_web_customers", "silver_web_order_lines"]))
+def published_by_name(spark, sf_dir):
+    """A build published whole and read by its tables' bound names, while the
+    next one, half written, is not seen."""
+    feeds, store = TestData(spark, sf_dir).bronze(), Store(spark, scratch_path(spark, "store"))
+    first = store.stage()
+    for name in _PUBLISHED:
+        feeds[name].write.parquet(f"{first}/{name}")
+    store.publish(first, _PUBLISHED)
+    feeds[_PUBLISHED[0]].limit(0).write.parquet(f"{store.stage()}/{_PUBLISHED[0]}")
+    p = Product(bound(spark, store.register(f"tessera_{first.rsplit('/', 1)[-1]}")), spark)
+    models = ["silver_customers", "silver_web_customers", "silver_web_order_lines"]
+    return union_all([p.model(m).agg(F.count(F.lit(1)).alias("n")).select(F.lit(m).alias("model"), "n") for m in models])

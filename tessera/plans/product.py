@@ -21,6 +21,8 @@ class Product:
         self._spark = spark
         self.summary_from = summary_from
         self._written: dict[str, str] = {}
+        #: Failures of contracts that were counted while their table was written.
+        self.observed: dict[str, int] = {}
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, summary_from: str = "lines") -> "Product":
@@ -180,15 +182,20 @@ class Product:
         are reconciled): each is computed once, later readers get a plain
         scan with column pruning and statistics, and a lost executor costs a
         re-read of the written table instead of the whole lineage.  Names
-        must come in dependency order and before dependants are built.
+        must come in dependency order and before dependants are built.  A
+        table's row-level contracts are counted in its write.
         """
+        from tessera.operators.contracts import Observed
+        from tessera.plans.contract_suite import GOLD_CHECKS, SILVER_CHECKS, row_counts
         from tessera.session import scratch_path
         for name in names:
             if name in self._written:
                 continue
             path = f"{root}/{name}" if root else scratch_path(self.spark, f"tables/{name}")
             df = self.model(name)
-            df.write.mode("overwrite").format(fmt).save(path)
+            seen = Observed(df, name, SILVER_CHECKS + GOLD_CHECKS, row_counts(name))
+            seen.frame.write.mode("overwrite").format(fmt).save(path)
+            self.observed.update(seen.counts)
             self.use(name, self.spark.read.format(fmt).schema(df.schema).load(path), path)
         return self
 

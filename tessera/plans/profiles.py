@@ -3,11 +3,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.identity import key_overlap
 from tessera.operators.profile import blank_fields, metrics, texts, union_all
+from tessera.operators.setpass import KeySet, set_counts
 
 WEB_FIELDS = {"bronze_web_customers": ["email", "full_name", "country", "signup_ts"],
               "bronze_web_products": ["product_id", "title", "list_price"],
@@ -19,28 +19,32 @@ def _sent(df: DataFrame) -> list[str]:
     return [c for c in df.columns if not c.startswith("_")]
 
 
+def _nonempty(column: str) -> Column:
+    return F.when(F.col(column) != "", F.col(column))
+
+
 def bronze_metrics(b: dict[str, DataFrame]) -> DataFrame:
     cust, orders = b["bronze_pos_customers"], b["bronze_pos_orders"]
     fx, hier = b["bronze_ref_fx_rates"], b["bronze_ref_product_hierarchy"]
     one = F.count(F.lit(1))
     numbers = union_all([
-        metrics(cust, {"bronze_pos_customers": one,
-                       "distinct_customers": F.count_distinct("customer_id"),
-                       "customer_columns": F.lit(len(_sent(cust)))}),
-        metrics(orders, {"bronze_pos_orders": one, "distinct_orders": F.count_distinct("order_id")}),
+        set_counts([
+            KeySet("distinct_customers", cust, "customer_id"),
+            KeySet("distinct_orders", orders, "order_id"),
+            KeySet("shared_emails", b["bronze_web_customers"], _nonempty("email"), 0),
+            KeySet("shared_emails", cust, _nonempty("email"), 1),
+            KeySet("fx_currencies", fx, "currency"), KeySet("fx_published_days", fx, "rate_date"),
+            KeySet("departments", hier, "department")]),
+        metrics(cust, {"bronze_pos_customers": one, "customer_columns": F.lit(len(_sent(cust)))}),
+        metrics(orders, {"bronze_pos_orders": one}),
         metrics(b["bronze_web_customers"], {"bronze_web_customers": one}),
         metrics(b["bronze_web_products"], {"bronze_web_products": one}),
         metrics(b["bronze_web_orders"], {
             "bronze_web_orders": one,
             "web_orders_has_lines": F.lit(int("lines" in b["bronze_web_orders"].columns))}),
-        key_overlap(b["bronze_web_customers"], cust, "email").select(
-            F.lit("shared_emails").alias("metric"), F.col("overlap").cast("bigint").alias("value")),
         metrics(fx, {"bronze_ref_fx_rates": one,
-                     "fx_currencies": F.count_distinct("currency"),
-                     "fx_published_days": F.count_distinct("rate_date"),
                      "fx_calendar_span": F.datediff(F.max("rate_date"), F.min("rate_date")) + 1}),
-        metrics(hier, {"bronze_ref_product_hierarchy": one,
-                       "departments": F.count_distinct("department")}),
+        metrics(hier, {"bronze_ref_product_hierarchy": one}),
         metrics(b["bronze_erp_customer_changes"], {"bronze_erp_customer_changes": one}),
     ])
     return union_all([
@@ -55,19 +59,19 @@ def silver_metrics(p) -> DataFrame:
     one = F.count(F.lit(1))
     pos, web = F.col("in_pos"), F.col("in_web")
     numbers = union_all([
-        key_overlap(p.bronze["bronze_pos_customers"], p.bronze["bronze_web_customers"], "email").select(
-            F.lit("naive_case_sensitive_matches").alias("metric"), F.col("overlap").cast("bigint").alias("value")),
+        set_counts([
+            KeySet("naive_case_sensitive_matches", p.bronze["bronze_pos_customers"], _nonempty("email"), 0),
+            KeySet("naive_case_sensitive_matches", p.bronze["bronze_web_customers"], _nonempty("email"), 1),
+            KeySet("countries", p.silver_customers, "country"),
+            KeySet("fx_currencies", p.silver_fx_daily, "currency"), KeySet("fx_calendar_days", p.silver_fx_daily, "rate_date")]),
         metrics(p.silver_customers, {"silver_customers": one,
                                      "customer_columns": F.lit(len(p.silver_customers.columns)),
-                                     "countries": F.count_distinct("country"),
                                      "missing_email": F.count_if(F.col("email") == "")}),
         metrics(p.silver_orders, {"silver_orders": one}),
         metrics(p.silver_quarantine_orders, {"silver_quarantine_orders": one}),
         metrics(p.silver_product_hierarchy, {"silver_product_hierarchy": one}),
         metrics(p.silver_fx_daily, {"silver_fx_daily": one,
-                                    "fx_carried": F.count_if("rate_is_carried"),
-                                    "fx_currencies": F.count_distinct("currency"),
-                                    "fx_calendar_days": F.count_distinct("rate_date")}),
+                                    "fx_carried": F.count_if("rate_is_carried")}),
         metrics(p.silver_web_customers, {"silver_web_customers": one}),
         metrics(p.silver_web_order_lines, {"silver_web_order_lines": one,
                                            "web_first_day": F.unix_date(F.min("order_date")),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.conform import conform_country, money, norm_email, rate
-from tessera.functions.dates import utc_date
+from tessera.functions.dates import parsed_utc_date, utc_date
 from tessera.operators.asof import carry_forward
 from tessera.operators.dedupe import latest_by, one_per_key
 from tessera.operators.identity import resolve_parties
@@ -91,6 +91,18 @@ def web_order_lines(bronze: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def web_order_lines_checked(bronze: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """``web_order_lines`` of the baskets whose time names a day, and the lines
+    of the others with the raw time and the reason: no line leaves in silence."""
+    o = bronze["bronze_web_orders"].withColumn("_day", parsed_utc_date("placed_at"))
+    good = web_order_lines({"bronze_web_orders": o.where("_day.error is null")})
+    bad = o.where("_day.error is not null")
+    lost = web_order_lines({"bronze_web_orders": bad.withColumns(
+        {"status": F.struct("status", "placed_at", F.col("_day.error").alias("error")), "placed_at": F.lit(None).cast("string")})})
+    return good, lost.drop("order_date").withColumns(
+        {"placed_at": F.col("status.placed_at"), "quarantine_reason": F.col("status.error"), "status": F.col("status.status")})
+
+
 def product_hierarchy(bronze: dict[str, DataFrame]) -> DataFrame:
     return bronze["bronze_ref_product_hierarchy"].select(
         "product_id", "product_name", "category", "department", "segment",

@@ -70,9 +70,20 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     return os.path.join(_scratch_root(spark), kind, uuid.uuid4().hex)
 
 
+_tables: dict[str, list[str]] = {}
+
+
+def scratch_table(spark: SparkSession, name: str) -> None:
+    """Note a catalog table whose files are under ``scratch_path``."""
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(name)
+
+
 def drop_scratch(spark: SparkSession) -> None:
-    """Delete all that this application wrote under ``scratch_path``.  To be
-    called when no frame that reads it is needed any more."""
+    """Delete all that this application wrote under ``scratch_path``, and the
+    catalog tables noted on it.  To be called when no frame that reads it is
+    needed any more."""
+    for name in _tables.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
