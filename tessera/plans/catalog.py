@@ -242,15 +242,17 @@ def asof_range_join(spark, sf_dir):
 
 
 # A quote feed with what a vendor gets wrong: quotes without a currency, one
-# currency's quotes of 21 days sent twice (the resend a cent higher), and a
-# currency whose quotes begin a year after the first orders.
+# currency's quotes of 21 days sent twice (the resend a cent higher), a
+# currency whose quotes begin a year after the first orders, and no quote at all
+# of the last 60 days: the calendar ends before the orders do.
 _DIRTY_QUOTES_SQL = """
   SELECT CASE WHEN currency = 'EUR' AND (rate_date - DATE '1970-01-01') % 9 = 0 THEN NULL ELSE currency END AS currency,
          rate_date, rate_to_usd
   FROM fx_quotes WHERE NOT (currency = 'SGD' AND rate_date < (SELECT min(rate_date) FROM fx_quotes) + 365)
+    AND rate_date <= (SELECT max(rate_date) FROM fx_quotes) - 60
   UNION ALL
   SELECT currency, rate_date, CAST(rate_to_usd + 0.01 AS DECIMAL(19,6)) FROM fx_quotes
-  WHERE currency = 'GBP' AND (rate_date - DATE '1970-01-01') % 7 < 3"""
+  WHERE currency = 'GBP' AND (rate_date - DATE '1970-01-01') % 7 < 3 AND rate_date <= (SELECT max(rate_date) FROM fx_quotes) - 60"""
 oracle.cte("fx_dirty_quotes", ["fx_quotes"], _DIRTY_QUOTES_SQL)
 oracle.cte("fx_dirty_daily", ["fx_dirty_quotes"], """
   SELECT d.rate_date, d.currency, q.rate_to_usd, q.rate_date AS quoted_on, q.rate_date <> d.rate_date AS rate_is_carried
@@ -265,8 +267,9 @@ oracle.cte("fx_dirty_daily", ["fx_dirty_quotes"], """
 
 def _dirty_quotes(p: Product) -> DataFrame:
     q = silver.fx_quotes(p._fx_bronze())
-    first = q.select(F.min("rate_date")).scalar()
+    first, last = q.select(F.min("rate_date")).scalar(), q.select(F.max("rate_date")).scalar()
     day = F.unix_date("rate_date")
+    q = q.filter(F.col("rate_date") <= F.date_sub(last, 60))
     sent = q.filter(~((F.col("currency") == "SGD") & (F.col("rate_date") < F.date_add(first, 365)))).withColumn(
         "currency", F.when((F.col("currency") == "EUR") & (day % 9 == 0), None).otherwise(F.col("currency")))
     again = q.filter((F.col("currency") == "GBP") & (day % 7 < 3)).withColumn(

@@ -211,12 +211,12 @@ cte("silver_party", ["silver_customers", "silver_web_customers"], """
   WHERE NOT EXISTS (SELECT 1 FROM silver_customers c WHERE c.email <> '' AND c.email = a.email)""")
 
 # --- gold ------------------------------------------------------------------------
-cte("fct_orders", ["silver_orders", "fx_quotes"], """
-  WITH dated AS (SELECT *, CAST(order_date AS DATE) AS day FROM silver_orders)
-  SELECT order_id, customer_id, product_id, order_date, channel, status, dated.currency, quantity, unit_price, amount,
-         q.rate_to_usd, q.rate_date < dated.day AS rate_is_carried,
-         CAST(amount * q.rate_to_usd AS DECIMAL(19,4)) AS amount_usd
-  FROM dated ASOF LEFT JOIN fx_quotes q ON q.currency = dated.currency AND dated.day >= q.rate_date""")
+# days behind the calendar's end have no rate, however old the last quote is
+cte("fct_orders", ["silver_orders", "silver_fx_daily"], """
+  WITH dated AS (SELECT *, CAST(order_date AS DATE) AS rate_date FROM silver_orders)
+  SELECT order_id, customer_id, product_id, order_date, channel, status, currency, quantity, unit_price, amount,
+         rate_to_usd, rate_is_carried, CAST(amount * rate_to_usd AS DECIMAL(19,4)) AS amount_usd
+  FROM dated LEFT JOIN silver_fx_daily USING (currency, rate_date)""")
 
 cte("dim_party", ["silver_party"], """
   SELECT party_key, email, pos_customer_id, in_pos, in_web, country, marketing_segment, loyalty_tier
@@ -225,7 +225,7 @@ cte("dim_party", ["silver_party"], """
 cte("dim_customer", ["silver_customers"], """
   SELECT customer_id, name, email, country, marketing_segment, loyalty_tier FROM silver_customers""")
 
-cte("fct_sales", ["fct_orders", "silver_party", "silver_web_order_lines", "fx_quotes"], """
+cte("fct_sales", ["fct_orders", "silver_party", "silver_web_order_lines", "silver_fx_daily"], """
   WITH shop AS (
     SELECT buyer.party_key, o.order_id AS sale_id, o.product_id, CAST(o.order_date AS DATE) AS order_date,
            'POS' AS channel_system, false AS is_cancelled, CAST(o.quantity AS BIGINT) AS quantity, o.amount,
@@ -238,8 +238,8 @@ cte("fct_sales", ["fct_orders", "silver_party", "silver_web_order_lines", "fx_qu
     FROM silver_party buyer, silver_web_order_lines l WHERE buyer.in_web AND buyer.email = l.email)
   SELECT * FROM shop
   UNION ALL
-  SELECT s.*, q.rate_to_usd, q.rate_date < s.order_date, CAST(s.amount * q.rate_to_usd AS DECIMAL(19,4))
-  FROM storefront s ASOF LEFT JOIN fx_quotes q ON q.currency = s.currency AND s.order_date >= q.rate_date""")
+  SELECT s.*, rate.rate_to_usd, rate.rate_is_carried, CAST(s.amount * rate.rate_to_usd AS DECIMAL(19,4))
+  FROM storefront s LEFT JOIN silver_fx_daily rate ON rate.currency = s.currency AND rate.rate_date = s.order_date""")
 
 cte("dim_country", ["dim_party"], " ".join([
     "SELECT country, CASE country",
@@ -274,14 +274,14 @@ cte("dim_date", ["fct_sales"], """
 
 cte("fct_daily_revenue", ["silver_orders", "silver_customers"], """
   FROM silver_orders JOIN silver_customers USING (customer_id)
-  SELECT order_date, country, count(order_id) AS orders, CAST(sum(quantity) AS BIGINT) AS units,
+  SELECT order_date, country, count(*) AS orders, CAST(sum(quantity) AS BIGINT) AS units,
          CAST(sum(amount) AS DECIMAL(29,4)) AS revenue
   GROUP BY ALL""")
 
 cte("fct_revenue_summary", ["fct_sales", "dim_date", "dim_product", "silver_party"], """
   SELECT fiscal_year, fiscal_year_label, fiscal_quarter, fiscal_quarter_label, channel_system, department, product_segment,
          ifnull(buyer.marketing_segment, 'Unsegmented') AS customer_segment, ifnull(buyer.country, 'Unknown') AS country,
-         count(sale_id) AS sale_lines,
+         count(*) AS sale_lines,
          CAST(ifnull(sum(quantity) FILTER (NOT is_cancelled), 0) AS BIGINT) AS units,
          CAST(ifnull(sum(amount_usd) FILTER (NOT is_cancelled), 0) AS DECIMAL(29,4)) AS revenue_usd,
          CAST(ifnull(sum(amount_usd) FILTER (is_cancelled), 0) AS DECIMAL(29,4)) AS cancelled_revenue_usd,

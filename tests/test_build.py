@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.plans.build import Run, land, run_all, run_bronze, run_gold, run_silver
+from tessera.plans.expected import EXPECTED
 from tessera.session import scratch_path
 
 SF = "/root/testdata/sf0.001"
@@ -9,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_full_build_end_to_end(spark):
     import __spark_entry__ as entry
-    out = run_all(spark, SF, scratch_path(spark, "test/build"))
+    out = run_all(spark, SF, scratch_path(spark, "test/build"), expected=EXPECTED["sf0.001"])
     b = out["bronze"]["rows"]
     assert b["bronze_pos_customers"] == out["bronze"]["metrics"]["bronze_pos_customers"] > 0
     assert out["bronze"]["metrics"]["web_orders_has_lines"] == 1
