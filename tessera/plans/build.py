@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tessera.operators.contracts import Observed, lacking_columns, money_type_offenders
 from tessera.operators.profile import union_all
 from tessera.plans import contract_suite
+from tessera.plans.lineage import column_lineage
 from tessera.plans.product import Product
 from tessera.plans.profiles import bronze_metrics, silver_metrics
 from tessera.plans.snapshot import against, figures, snapshot
@@ -37,6 +38,8 @@ class Run:
     lineage: list[tuple[str, str]] = field(default_factory=list)
     rows: dict[str, int] = field(default_factory=dict)
     observed: dict[str, int] = field(default_factory=dict)
+    #: Of each table written: ``(column, source table, source column)``.
+    columns: dict[str, list[tuple[str, str, str]]] = field(default_factory=dict)
 
     def path(self, name: str) -> str:
         return os.path.join(self.root, name)
@@ -47,6 +50,7 @@ class Run:
         seen.frame.write.format(self.fmt).mode("overwrite").save(self.path(name))
         n = seen.rows
         self.observed.update(seen.counts)
+        self.columns[name] = column_lineage(df)
         self.lineage.append(("write", name))
         self.rows[name] = n
         return n
@@ -206,7 +210,7 @@ def run_all(spark: SparkSession, sf_dir: str, root: str, day: str = "2026-07-01"
     run = Run(spark, os.path.join(root, "tables"))
     out = {"bronze": run_bronze(run, landing_dir, day), "silver": run_silver(run),
            "gold": run_gold(run, expected)}
-    out["lineage"] = run.lineage
+    out["lineage"], out["column_lineage"] = run.lineage, run.columns
     return out
 
 

@@ -14,6 +14,7 @@ from tessera.operators.treediff import tree_difference
 from tessera.plans import contract_suite as K
 from tessera.plans import oracle, silver
 from tessera.plans.catalog import query
+from tessera.plans.lineage import column_lineage
 from tessera.plans.product import Product
 from tessera.plans.publish import Store, bound
 from tessera.session import scratch_path
@@ -264,3 +265,31 @@ def published_by_name(spark, sf_dir):
     p = Product(bound(spark, store.register(f"tessera_{first.rsplit('/', 1)[-1]}")), spark)
     models = ["silver_customers", "silver_web_customers", "silver_web_order_lines"]
     return union_all([p.model(m).agg(F.count(F.lit(1)).alias("n")).select(F.lit(m).alias("model"), "n") for m in models])
+
+
+# --- lineage ---------------------------------------------------------------------------------
+_LINE = ["lineitem.l_extendedprice", "lineitem.l_linenumber", "lineitem.l_orderkey", "lineitem.l_partkey", "lineitem.l_quantity", "orders.o_orderkey"]
+_DAY = ["orders.o_orderdate", "orders.o_orderkey"]
+_SUMMARY_SOURCES = {
+    "country": ["customer.c_custkey"], "customer_segment": ["customer.c_mktsegment"],
+    "department": ["part.p_partkey", "part.p_type"], "product_segment": ["part.p_partkey", "part.p_type"],
+    "fiscal_year": _DAY, "fiscal_year_label": _DAY, "fiscal_quarter": _DAY, "fiscal_quarter_label": _DAY,
+    "units": _LINE, "revenue_usd": [*_LINE, "fx_rates.rate_to_usd"], "cancelled_revenue_usd": [*_LINE, "fx_rates.rate_to_usd"],
+    "revenue_at_carried_rate": [*_LINE, "fx_rates.rate_to_usd", "fx_rates.rate_date"]}
+_SOURCES_SQL = ", ".join(f"('{c}', '{s.split('.')[0]}', '{s.split('.')[1]}')" for c, ss in _SUMMARY_SOURCES.items() for s in ss)
+
+
+@query("lineage_revenue_summary", oracle.with_ctes(f"""
+SELECT output_column, source_table, source_column, n AS source_rows FROM (VALUES {_SOURCES_SQL}) v(output_column, source_table, source_column)
+JOIN (SELECT 'lineitem' AS source_table, count(*) AS n FROM lineitem UNION ALL SELECT 'orders', count(*) FROM orders
+      UNION ALL SELECT 'customer', count(*) FROM customer UNION ALL SELECT 'part', count(*) FROM part
+      UNION ALL SELECT 'fx_rates', count(*) FROM bronze_ref_fx_rates) USING (source_table)""", ["bronze_ref_fx_rates"]))
+def lineage_revenue_summary(spark, sf_dir):
+    """Where each column of the management summary comes from, by its plan,
+    with the rows that the source has now."""
+    p = Product.from_testdata(spark, sf_dir)
+    found = spark.createDataFrame(column_lineage(p.fct_revenue_summary), "output_column string, source_table string, source_column string")
+    t = TestData(spark, sf_dir)
+    tables = {n: t.table(n) for n in ("lineitem", "orders", "customer", "part")} | {"fx_rates": p.bronze["bronze_ref_fx_rates"]}
+    rows = union_all([df.agg(F.count(F.lit(1)).alias("source_rows")).select(F.lit(n).alias("source_table"), "source_rows") for n, df in tables.items()])
+    return found.join(F.broadcast(rows), "source_table").select("output_column", "source_table", "source_column", "source_rows")

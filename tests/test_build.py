@@ -31,6 +31,10 @@ def test_full_build_end_to_end(spark):
     gold = out["lineage"][out["lineage"].index(("write", "fct_orders")) - 3:]
     assert not any(n.startswith("bronze_") for kind, n in gold if kind == "read")
     assert "silver_fx_daily" in reads
+    columns = out["column_lineage"]
+    assert ("amount_usd", "silver_fx_daily", "rate_to_usd") in columns["fct_orders"]
+    assert ("country", "silver_party", "country") in columns["dim_party"]
+    assert set(columns) >= {"silver_party", "fct_sales", "fct_revenue_summary"}
 
 
 def test_metrics_survive_a_failing_write(spark):
