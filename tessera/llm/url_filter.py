@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from tessera.llm.common import materialize, small_side
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: An absolute or protocol-relative link in an html attribute.
-LINK = "(?i)\\bhref\\s*=\\s*[\"']?\\s*((?:https?:)?//[^\"'\\s<>]+)"
+#: An absolute or protocol-relative link in an html attribute named href itself.
+LINK = "(?i)[\\s\"'/]href\\s*=\\s*[\"']?\\s*((?:https?:)?//[^\"'\\s<>]+)"
+#: Comments and scripts: what stands there is no link.
+UNSEEN = "(?is)<!--.*?-->|<script\\b.*?</script\\s*>"
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
 
@@ -42,8 +44,9 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Col
 
 def host_edges(pages: DataFrame, host: Column, html_col: str) -> DataFrame:
     """``src, dst, n``: pages of host ``src`` that link to host ``dst``."""
+    seen = F.regexp_replace(F.col(html_col), UNSEEN, " ")
     links = pages.select(host.alias("src"), F.explode(F.array_distinct(F.transform(
-        F.regexp_extract_all(F.col(html_col), F.lit(LINK), F.lit(1)),
+        F.regexp_extract_all(seen, F.lit(LINK), F.lit(1)),
         lambda u: F.translate(F.regexp_extract(u, "//([^/?#]*)", 1), UPPER, LOWER)))).alias("dst"))
     return (links.where("src <> '' and dst <> '' and src <> dst")
             .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n")))

@@ -81,3 +81,12 @@ def test_spread_goes_on_to_the_fixpoint(spark):
     for k in range(n + 1):
         assert abs(got[f"h{k:02d}"][0] - 0.3 * 0.7 ** k) < 1e-4 and abs(got[f"h{k:02d}"][1] - 0.3 * 0.7 ** (n - k)) < 1e-4
     assert got[f"h{n}"][0] > 0 and got["h00"][1] > 0
+
+
+def test_only_links_count_as_links(spark):
+    from tessera.llm.url_filter import host_edges, url_parts
+    html = ('<a data-href="http://no1.net/x">a</a><!-- <a href="http://no2.net/">b</a> --><script>var s=\'<a href="http://no3.net/">\'</script >'
+            '<a class="x" href="http://yes1.net/">c</a><a\nHREF=//yes2.net/x>d</a><a id=\'q\'href=\'https://yes3.net\'>e</a>')
+    df = spark.createDataFrame([("http://src.org/a", html), ("http://src.org/b", None)], "url string, html string")
+    host, _ = url_parts(df["url"])
+    assert sorted(r["dst"] for r in host_edges(df, host, "html").collect()) == ["yes1.net", "yes2.net", "yes3.net"]
