@@ -39,7 +39,7 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan(_table(spark, sf_dir, "documents"))
     counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as bigint) AS n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(_joined("base"), 256).alias("base_sha256"),
-                        _joined("spans").alias("spans"), "n_layers", "n_oversize")
+                        _joined("spans").alias("spans"), "n_layers")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
