@@ -3,6 +3,7 @@ and once (a model used by several others is the same DataFrame object)."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -166,6 +167,20 @@ class Product:
 
     MODELS = frozenset([*SILVER, *GOLD])
 
+    #: Models that a model reads, if they are written.
+    BUILT_ON = {
+        "latest_orders": [], "silver_customers": [], "silver_web_customers": [], "silver_web_order_lines": [],
+        "silver_product_hierarchy": [], "silver_fx_daily": [],
+        "silver_orders": ["latest_orders"], "silver_quarantine_orders": ["latest_orders"],
+        "silver_party": ["silver_customers", "silver_web_customers"],
+        "fct_orders": ["silver_orders", "silver_fx_daily"],
+        "fct_sales": ["silver_orders", "silver_web_order_lines", "silver_fx_daily", "silver_party"],
+        "dim_customer": ["silver_customers"], "dim_party": ["silver_party"], "dim_country": ["dim_party", "silver_party"],
+        "dim_product": ["silver_product_hierarchy", "fct_sales"], "dim_date": ["fct_sales"],
+        "fct_daily_revenue": ["fct_orders", "dim_customer", "silver_customers"],
+        "fct_revenue_summary": ["fct_sales", "dim_party", "silver_party", "silver_product_hierarchy"],
+    }
+
     def model(self, name: str) -> DataFrame:
         return getattr(self, name)
 
@@ -181,22 +196,29 @@ class Product:
         For plans that consume a model several times (contracts, builds that
         are reconciled): each is computed once, later readers get a plain
         scan with column pruning and statistics, and a lost executor costs a
-        re-read of the written table instead of the whole lineage.  Names
-        must come in dependency order and before dependants are built.  A
-        table's row-level contracts are counted in its write.
+        re-read of the written table instead of the whole lineage.  Models
+        are written before dependants are built, those that wait for none of
+        the others side by side.  A table's row-level contracts are counted in
+        its write.
         """
         from tessera.operators.contracts import Observed
         from tessera.plans.contract_suite import GOLD_CHECKS, SILVER_CHECKS, row_counts
         from tessera.session import scratch_path
-        for name in names:
-            if name in self._written:
-                continue
-            path = f"{root}/{name}" if root else scratch_path(self.spark, f"tables/{name}")
-            df = self.model(name)
-            seen = Observed(df, name, SILVER_CHECKS + GOLD_CHECKS, row_counts(name))
-            seen.frame.write.mode("overwrite").format(fmt).save(path)
-            self.observed.update(seen.counts)
-            self.use(name, self.spark.read.format(fmt).schema(df.schema).load(path), path)
+        todo = [n for n in names if n not in self._written]
+        while todo:
+            # models that wait for none of the others are written side by side
+            ready = [n for n in todo if not any(d in todo for d in self.BUILT_ON.get(n, todo[:todo.index(n)]))]
+            writes = []
+            for name in ready:
+                path = f"{root}/{name}" if root else scratch_path(self.spark, f"tables/{name}")
+                df = self.model(name)
+                writes.append((name, path, df, Observed(df, name, SILVER_CHECKS + GOLD_CHECKS, row_counts(name))))
+            with ThreadPoolExecutor(max_workers=4) as pool:
+                list(pool.map(lambda w: w[3].frame.write.mode("overwrite").format(fmt).save(w[1]), writes))
+            for name, path, df, seen in writes:
+                self.observed.update(seen.counts)
+                self.use(name, self.spark.read.format(fmt).schema(df.schema).load(path), path)
+            todo = [n for n in todo if n not in ready]
         return self
 
     def use(self, name: str, df: DataFrame, path: str) -> None:
