@@ -24,10 +24,11 @@ def metrics(df: DataFrame, exprs: dict[str, Column], prefix: str = "") -> DataFr
     return _stack(row, [f"{prefix}{k}" for k in exprs], "metric", "value")
 
 
-def texts(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
-    """Metrics that are text: one aggregate, rows ``(metric, value, text)``."""
-    row = df.agg(*[e.cast("string").alias(k) for k, e in exprs.items()])
-    return _stack(row, list(exprs), "metric", "text").select("metric", F.lit(None).cast("bigint").alias("value"), "text")
+def measured(df: DataFrame, numbers: dict[str, Column], words: dict[str, Column]) -> DataFrame:
+    """Numbers and texts of a table by one aggregate: rows ``(metric, value, text)``."""
+    row = df.agg(*[e.cast("bigint").alias(k) for k, e in numbers.items()], *[e.cast("string").alias(k) for k, e in words.items()])
+    body = [f"'{k}', `{k}`, cast(null as string)" for k in numbers] + [f"'{k}', cast(null as bigint), `{k}`" for k in words]
+    return row.selectExpr(f"stack({len(body)}, {', '.join(body)}) as (metric, value, text)")
 
 
 def blank_fields(df: DataFrame, table: str, fields: list[str]) -> Column:

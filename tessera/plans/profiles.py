@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.profile import blank_fields, metrics, texts, union_all
+from tessera.operators.profile import blank_fields, measured, metrics, union_all
 from tessera.operators.setpass import KeySet, set_counts
 
 WEB_FIELDS = {"bronze_web_customers": ["email", "full_name", "country", "signup_ts"],
@@ -27,30 +27,28 @@ def bronze_metrics(b: dict[str, DataFrame]) -> DataFrame:
     cust, orders = b["bronze_pos_customers"], b["bronze_pos_orders"]
     fx, hier = b["bronze_ref_fx_rates"], b["bronze_ref_product_hierarchy"]
     one = F.count(F.lit(1))
-    numbers = union_all([
-        set_counts([
-            KeySet("distinct_customers", cust, "customer_id"),
-            KeySet("distinct_orders", orders, "order_id"),
-            KeySet("shared_emails", b["bronze_web_customers"], _nonempty("email"), 0),
-            KeySet("shared_emails", cust, _nonempty("email"), 1),
-            KeySet("fx_currencies", fx, "currency"), KeySet("fx_published_days", fx, "rate_date"),
-            KeySet("departments", hier, "department")]),
-        metrics(cust, {"bronze_pos_customers": one, "customer_columns": F.lit(len(_sent(cust)))}),
-        metrics(orders, {"bronze_pos_orders": one}),
-        metrics(b["bronze_web_customers"], {"bronze_web_customers": one}),
-        metrics(b["bronze_web_products"], {"bronze_web_products": one}),
-        metrics(b["bronze_web_orders"], {
-            "bronze_web_orders": one,
-            "web_orders_has_lines": F.lit(int("lines" in b["bronze_web_orders"].columns))}),
-        metrics(fx, {"bronze_ref_fx_rates": one,
-                     "fx_calendar_span": F.datediff(F.max("rate_date"), F.min("rate_date")) + 1}),
-        metrics(hier, {"bronze_ref_product_hierarchy": one}),
-        metrics(b["bronze_erp_customer_changes"], {"bronze_erp_customer_changes": one}),
-    ])
+    blank = {t: {f"{t}_blank_columns": blank_fields(b[t], t, fields)} for t, fields in WEB_FIELDS.items()}
+    keys = set_counts([
+        KeySet("distinct_customers", cust, "customer_id"),
+        KeySet("distinct_orders", orders, "order_id"),
+        KeySet("shared_emails", b["bronze_web_customers"], _nonempty("email"), 0),
+        KeySet("shared_emails", cust, _nonempty("email"), 1),
+        KeySet("fx_currencies", fx, "currency"), KeySet("fx_published_days", fx, "rate_date"),
+        KeySet("departments", hier, "department")])
     return union_all([
-        numbers.withColumn("text", F.lit(None).cast("string")),
-        texts(cust, {"customer_column_names": F.lit(",".join(_sent(cust)))}),
-        *[texts(b[t], {f"{t}_blank_columns": blank_fields(b[t], t, fields)}) for t, fields in WEB_FIELDS.items()],
+        keys.withColumn("text", F.lit(None).cast("string")),
+        measured(cust, {"bronze_pos_customers": one, "customer_columns": F.lit(len(_sent(cust)))},
+                 {"customer_column_names": F.lit(",".join(_sent(cust)))}),
+        measured(orders, {"bronze_pos_orders": one}, {}),
+        measured(b["bronze_web_customers"], {"bronze_web_customers": one}, blank["bronze_web_customers"]),
+        measured(b["bronze_web_products"], {"bronze_web_products": one}, blank["bronze_web_products"]),
+        measured(b["bronze_web_orders"], {
+            "bronze_web_orders": one,
+            "web_orders_has_lines": F.lit(int("lines" in b["bronze_web_orders"].columns))}, blank["bronze_web_orders"]),
+        measured(fx, {"bronze_ref_fx_rates": one,
+                      "fx_calendar_span": F.datediff(F.max("rate_date"), F.min("rate_date")) + 1}, {}),
+        measured(hier, {"bronze_ref_product_hierarchy": one}, {}),
+        measured(b["bronze_erp_customer_changes"], {"bronze_erp_customer_changes": one}, {}),
     ])
 
 
