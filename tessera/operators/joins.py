@@ -9,17 +9,25 @@ from pyspark.sql import functions as F
 # is not proven below it is left to the planner (sort-merge, or an AQE
 # conversion from the measured shuffle size).
 BROADCAST_MAX_ROWS = 2_000_000
+#: And on the bytes of its values, as text: rows may hold free text.
+BROADCAST_MAX_BYTES = 128 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
+def small_enough(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Has ``df`` at most ``max_rows`` rows and their values at most
+    ``max_bytes`` as text?  One aggregate over no more than ``max_rows + 1`` rows."""
+    size = F.octet_length(F.to_json(F.struct(*df.columns)))
+    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(size)).first()
+    return n <= max_rows and (size or 0) <= max_bytes
 
-    The probe is ``limit(max_rows + 1).count()``; meant for dimension-like
-    sides that are cheap to compute (calendars, rate grids), whose size does
-    not grow with the facts.
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast ``df`` only after proving it small, in rows and in bytes.
+
+    Meant for dimension-like sides that are cheap to compute (calendars, rate
+    grids, lists of files), whose size does not grow with the facts.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if small_enough(df, max_rows, max_bytes) else df
 
 
 def full_outer_by_key(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

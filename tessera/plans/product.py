@@ -104,8 +104,8 @@ class Product:
     @cached_property
     def products_broadcast(self) -> bool:
         """Is the product hierarchy small enough to broadcast?"""
-        from tessera.operators.joins import BROADCAST_MAX_ROWS
-        return self.silver_product_hierarchy.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
+        from tessera.operators.joins import small_enough
+        return small_enough(self.silver_product_hierarchy)
 
     @cached_property
     def sold_lines(self) -> DataFrame:

@@ -90,3 +90,19 @@ def test_one_scan_and_no_python(spark):
     plan = tolerant.read_csv(spark, path, DDL)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "SortMergeJoin" not in plan
     assert tolerant.read_json_lines(spark, path, DDL).select(F.col("id"))._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_a_side_is_broadcast_by_rows_and_bytes(spark):
+    from tessera.operators.joins import broadcast_if_small, small_enough
+    df = spark.createDataFrame([(k, "x" * 100) for k in range(50)] + [(None, None)], "k int, text string")
+    assert small_enough(df) and small_enough(df.limit(0)) and not small_enough(df, max_rows=50) and not small_enough(df, max_bytes=4000)
+    hinted = lambda d: "ResolvedHint" in d._jdf.queryExecution().analyzed().toString()
+    assert hinted(broadcast_if_small(df)) and not hinted(broadcast_if_small(df, max_bytes=10))
+
+
+def test_large_file_lists_are_joined_all_the_same(spark, monkeypatch):
+    import tessera.sources.tolerant as t
+    path = _files(spark, a="id,email,n\nC1,x,1\n", b="n,id\n2,C2\n")
+    want = _by(t.read_csv(spark, path, DDL), "id", "email", "n")
+    monkeypatch.setattr(t, "broadcast_if_small", lambda df: df)
+    assert _by(t.read_csv(spark, path, DDL), "id", "email", "n") == want == [["C1", "x", 1], ["C2", None, 2]]
