@@ -7,8 +7,10 @@ of their words and each one's expectation stay as they are, until one of them
 is taken or left for good.  The one that is still fractional meets the next.
 Groups of documents leave one residual each; residuals are combined level by
 level in a reduction tree, and one residual per source is rounded at last.  So
-a source misses its target by less than one document.  All native expressions:
-a group's fold is SQL's ``aggregate`` over its array.
+a source misses its target by less than one document.  A fold takes the largest
+documents first, so that the one left over, and with it the miss, is a small
+one as a rule.  All native expressions: a group's fold is SQL's ``aggregate``
+over its array.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from tessera.llm.common import materialize, small_side
 WORD = "[^\\x20\\x09-\\x0D]+"
 #: The most copies of one document.
 MAX_COPIES = 3
+#: Repeats of a row that one row of the last step spreads out.
+SPREAD = 65_536
 
 
 def word_count(text: Column) -> Column:
@@ -33,15 +37,18 @@ def word_count(text: Column) -> Column:
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3),
                    max_copies: int = MAX_COPIES) -> DataFrame:
-    """``source, n_docs, source_size, target`` of a table of ``source, size``.
+    """``source, n_docs, source_size, target`` of a table of ``source, size``,
+    or ``source, size, n`` with rows that stand for ``n`` documents.
+    ``n_docs`` counts the rows of the table.
 
     Sources in code-point order, null last, weigh ``weights``, repeating.
     Targets share the sum of all sizes by weight, none above ``max_copies``
     times its source's size; what is above is shared again by weight.  The
     table has a row per source, which is all that passes through its window.
     """
+    words = F.col("size") * F.col("n") if "n" in sizes.columns else F.col("size")
     per = materialize(sizes.groupBy("source").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.sum("size").alias("source_size")), "mix_sources")
+        F.count(F.lit(1)).alias("n_docs"), F.sum(words).alias("source_size")), "mix_sources")
     rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.pmod(rank, F.lit(len(weights))) + 1)
     per = materialize(per.withColumn("w", weight).withColumn("cap", F.col("source_size") * float(max_copies)),
@@ -61,8 +68,8 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3),
 
 
 def pivot_group(items: str, seed: int) -> str:
-    """SQL that folds an array of ``struct<id, size, mass, n>`` (all masses
-    strictly between 0 and the size) to ``struct<cur, done>``.
+    """SQL that folds an array of structs of ``id, size, mass, n`` (all masses
+    strictly between 0 and the size), in its order, to ``struct<cur, done>``.
 
     Mass moves from a to b with probability d2/(d1+d2) and from b to a
     otherwise, where d1 and d2 are the most that can move either way.
@@ -81,7 +88,8 @@ def pivot_group(items: str, seed: int) -> str:
     to_a = (f"if({b_out}, {step(item.format('s.cur', 's.cur.mass + x.mass'), taken.format('x', 0))}, "
             f"{step(item.format('x', 'x.mass - (s.cur.size - s.cur.mass)'), taken.format('s.cur', 1))})")
     none = "cast(array() as array<struct<id:bigint,size:bigint,n:bigint,bit:bigint>>)"
-    return (f"aggregate(slice({items}, 2, size({items})), named_struct('cur', {items}[0], 'done', {none}), "
+    first = item.format(f"{items}[0]", f"{items}[0].mass")
+    return (f"aggregate(slice({items}, 2, size({items})), named_struct('cur', {first}, 'done', {none}), "
             f"(s, x) -> if({u} < {d2} / ({d1} + {d2}), {to_b}, {to_a}))")
 
 
@@ -95,20 +103,22 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     Null texts have size 0; a null source is a source of its own, weighed
     last.  Documents without words take no part in the rounding: they get the
     whole part of the copy count.  Rows repeated under one id, source and size
-    are taken alike.  Ids are integers; a null id is an id like any other.
-    An empty table gives an empty result.  Randomness is a hash of ids and
-    ``seed``, and every fold runs in id order, so reruns agree.
+    are taken alike, as one document of their summed size; they are told apart
+    only in the result, at most ``SPREAD`` by one row.  Ids are integers; a null
+    id is an id like any other.  An empty table gives an empty result.
+    Randomness is a hash of ids and ``seed``, and every fold runs from the
+    largest document down, then by id, so reruns agree.
 
     A hot source is dealt out over groups of about ``fan_in`` documents; each
-    level of the tree divides the rows left by about ``fan_in``.
+    level of the tree divides the rows left by about ``fan_in``.  About as many
+    documents of every source are held back for its last group, where what the
+    tree leaves over, often large, is spread over them.
     """
     sized = materialize(
         docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).alias("source"),
                     word_count(F.col(text_col)).alias("size"))
         .groupBy("source", "id", "size").agg(F.count(F.lit(1)).alias("n")), "mix_sizes")
-    targets = materialize(source_targets(
-        sized.select("source", F.explode(F.expr("array_repeat(size, cast(n as int))")).alias("size")),
-        weights, max_copies), "mix_targets")
+    targets = materialize(source_targets(sized.select("source", "size", "n"), weights, max_copies), "mix_targets")
     t = small_side(targets.select(F.col("source").alias("src"), "n_docs", "source_size", "target"))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rows = (sized.join(t, F.col("source").eqNullSafe(F.col("src")), "left")
@@ -123,13 +133,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     levels = max(1, math.ceil(math.log(max(most, 2), fan_in)))
     open_rows = rows.where(~settled).select("source", "id", F.col("words").alias("size"), "mass", "n",
                                             F.col("n_docs").alias("k"))
+    for_last = F.pmod(F.xxhash64("id", "size", F.lit(seed + 211)), F.col("k")) < fan_in
+    held, open_rows = open_rows.where(for_last), open_rows.where(~for_last)
     decided: list[DataFrame] = []
     for level in range(levels + 1):
         last = level == levels
+        if last:
+            open_rows = open_rows.unionByName(held)
         buckets = F.lit(1) if last else F.greatest(F.lit(1), F.ceil(F.col("k") / fan_in)).cast("long")
-        dealt = (open_rows.withColumn("b", F.pmod(F.xxhash64("id", F.lit(seed + level)), buckets))
+        dealt = (open_rows.withColumn("b", F.pmod(F.xxhash64("id", "size", F.lit(seed + level)), buckets))
                  .groupBy("source", "b")
-                 .agg(F.array_sort(F.collect_list(F.struct("id", "size", "mass", "n"))).alias("g"), F.max("k").alias("k")))
+                 .agg(F.array_sort(F.collect_list(F.struct((-F.col("size")).alias("o"), "id", "size", "mass", "n"))).alias("g"),
+                      F.max("k").alias("k")))
         folded = materialize(dealt.withColumn("f", F.expr(pivot_group("g", seed + level)))
                              .select("source", "k", "f"), f"mix_level{level}")
         decided.append(folded.select("source", F.explode("f.done").alias("d")).select("source", "d.*"))
@@ -151,7 +166,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rest = (rows.where(settled).select("id", "source", "size", "n", "source_size", "target",
                                        (F.col("whole") + F.when(F.col("mass") > 0, 1).otherwise(0)).alias("copies")))
     return (done.unionByName(rest)
-            .withColumn("i", F.explode(F.expr("array_repeat(0, cast(n as int))")))
+            .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {SPREAD}"))))
+            .withColumn("i", F.explode(F.expr(f"array_repeat(0, cast(least({SPREAD}, n - part * {SPREAD}) as int))")))
             .select(F.col("id").alias(id_col), "source", "size", "source_size", "target",
                     F.col("copies").cast("long").alias("copies"),
                     (F.col("copies") * F.col("size")).cast("long").alias("taken")))

@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import pytest
 
+from tessera.llm import mixing
 from tessera.llm.mixing import mix, mix_documents, source_targets
 from tests.llm.tables import awkward, documents, empty
 
@@ -79,6 +80,37 @@ def test_caps_bind(spark):
     assert t == pytest.approx({"a": 30, "b": 30, "c": 960})
 
 
+def test_small_sources_come_near_their_targets(spark):
+    got = mix(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()
+    taken, target, largest = defaultdict(int), {}, defaultdict(int)
+    for r in got:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+        largest[r.source] = max(largest[r.source], r["size"])
+    misses = [abs(taken[s] - target[s]) / largest[s] for s in target]
+    assert max(misses) < 0.6 and sum(misses) / len(misses) < 0.15
+
+
+def test_repeats_beyond_one_spread(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SPREAD", 7)
+    rows = [(None, "a b", "x")] * 30 + [(5, "c d e", "x")] * 7 + [(6, "f", "y")] * 8 + [(k, "g h i j", "y") for k in range(10, 40)]
+    got = check_counts(rows, mix(documents(spark, rows)))
+    assert got[(None, "x", 2)][0] == 30 and got[(5, "x", 3)][0] == 7 and got[(6, "y", 1)][0] == 8
+
+
+def check_counts(rows, df):
+    """Rows and copies by (id, source, size); rows of one of these are taken alike."""
+    n, copies = defaultdict(int), defaultdict(set)
+    for r in df.collect():
+        n[(r.doc_id, r.source, r["size"])] += 1
+        copies[(r.doc_id, r.source, r["size"])].add(r.copies)
+    want = defaultdict(int)
+    for i, t, s in rows:
+        want[(i, s, words(t))] += 1
+    assert n == want and all(len(c) == 1 for c in copies.values())
+    return {k: (n[k], next(iter(copies[k]))) for k in n}
+
+
 def test_mixed_documents_are_the_rows_taken(spark):
     rows = [(k, "w " * (1 + k % 5) + str(k), f"s{k % 3}") for k in range(60)]
     df = documents(spark, rows)
