@@ -3,8 +3,10 @@
 Words are read as symbols: insult, threat, target, negation, reported speech.
 Five small transducers each follow one pattern through a clause; composed, they
 step together, and their product says of every insult and threat whether it is
-aimed, negated or reported.  Matched clauses carry the weights; a document's
-score is a logistic function of what its clauses add up to.  Which words and
+aimed, negated or reported.  A clause in quotes or behind a colon begins as
+reported speech if a word of saying leads to it or follows it.  A threat is a verb
+of violence with a target or an insult behind it, or a target before it.  Matched
+clauses carry the weights; a document's score is a logistic function of what its clauses add up to.  Which words and
 word beginnings are insults, and how much they weigh, is learned from labelled
 documents beside a short fixed list.
 """
@@ -35,7 +37,6 @@ PREFIXES = (4, 5, 6, 7)
 WORDS = {
     "insult": "idiot moron imbecile scum bastard loser retard trash filth vermin stupid worthless pathetic disgusting "
               "dumb arschloch dreckskerl abschaum trottel connard salaud ordure abruti cabron basura escoria",
-    "threat": "kill hurt destroy beat shoot stab murder burn hang töten umbringen vernichten tuer frapper matar golpear",
     "target": "you your yours u he she him her they them their people those these du dich dir ihr euch sie er tu toi te "
               "vous il elle ils eux tú ti usted ustedes ellos ellas",
     "negation": "not no never isn't aren't don't without nicht kein keine nie ne pas jamais sans nunca tampoco sin",
@@ -43,6 +44,28 @@ WORDS = {
               "dit disait écrit dijo dice escribió",
 }
 
+# Stems of verbs of violence with the endings of what is yet to be done, and of what is told.
+THREATS = [
+    ("kill hurt destroy beat shoot stab murder burn hang strangle", "", "s ed ing en"),
+    ("stabb strangl", "-", "ed ing"),
+    ("töt umbring vernicht", "en", "e est et t te ete st"),
+    ("tu frapp étrangl", "er erai era", "e es ez ent é ait"),
+    ("mat golpe estrangul", "ar aré ará aremos", "o as an aron aba"),
+]
+#: Weight of a told threat beside one yet to be done.
+TOLD = 0.25
+SAID = 3
+
+
+def threat_forms() -> dict[str, float]:
+    """Forms of the verbs of violence and their weights."""
+    out: dict[str, float] = {}
+    for stems, coming, told in THREATS:
+        for stem in stems.split():
+            out |= {stem + e: TOLD for e in told.split() if stem + e not in out}
+            out |= {stem + e: 1.0 for e in coming.split(" ") if e != "-"}
+    return out
+
 
 class Transducer:
     """A deterministic weighted automaton over symbols: a state counts down a
@@ -72,8 +95,11 @@ class Composed:
             self.table[key] = tuple(m[0] for m in moves), tuple(m[1] for m in moves)
         return self.table[key]
 
-    def run(self, symbols: list[str]) -> list[tuple[bool, ...]]:
+    def run(self, symbols: list[str], opened: str = "") -> list[tuple[bool, ...]]:
+        """The scopes that every symbol stands in; the scope of ``opened`` is open from the start."""
         state, out = (0,) * len(self.parts), []
+        if opened:
+            state, _ = self.step(state, opened)
         for s in symbols:
             state, inside = self.step(state, s)
             out.append(inside)
@@ -84,10 +110,11 @@ class Composed:
 FORWARD = Composed(Transducer("target", 4), Transducer("negation", 3), Transducer("report", 0), Transducer("threat", 5))
 BACKWARD = Composed(Transducer("target", 4))
 
-_token = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?;:\n\"“”]+")
+QUOTES = "\"“”„«»"
+_token = re.compile(rf"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?;:\n{QUOTES}]+")
 #: Evidence of a document: constant, best insult, best clause, weights of plain, aimed, negated and reported
 #: insults, threats, all weights per word.
-PRIOR = np.array([-4.0, 1.0, 0.5, 0.5, 0.7, 0.1, 0.1, 1.0, 0.2])
+PRIOR = np.array([-4.0, 1.0, 0.5, 0.5, 0.7, 0.1, 0.1, 3.0, 0.2])
 
 
 @dataclass
@@ -99,7 +126,8 @@ class Grammar:
     weights: np.ndarray = field(default_factory=PRIOR.copy)
 
     def __post_init__(self) -> None:
-        self.symbols = {w: s for s, ws in WORDS.items() for w in ws.split() if s != "insult"}
+        self.threats = threat_forms()
+        self.symbols = dict.fromkeys(self.threats, "threat") | {w: s for s, ws in WORDS.items() for w in ws.split() if s != "insult"}
         self.insults = {w: 2.0 for w in WORDS["insult"].split()} | self.words
         self.sizes = sorted({len(p) for p in self.beginnings})
         self.memo: dict[str, float] = {}
@@ -114,28 +142,59 @@ class Grammar:
             self.memo[word] = got
         return got
 
-    def clauses(self, text: str) -> Iterator[tuple[list[str], list[float]]]:
-        """Symbols and insult weights of the clauses that have an insult or a threat."""
+    def clauses(self, text: str) -> list[tuple[list[str], list[float], bool]]:
+        """The clauses that have an insult or a threat: symbols, weights of
+        insults and threats, and whether the clause is quoted from someone.
+
+        A quote is what stands between quotation marks, a line's end closes it
+        too; it is someone's if a word of saying stands in the clause before it
+        or among the first ``SAID`` words behind it.  What follows a colon
+        behind such a word is someone's to the sentence's end.
+        """
+        out: list[tuple[list[str], list[float], bool]] = []
         words: list[str] = []
+        spoke = quoted = quote_said = colon_said = False
+        start, closed = 0, None  # the first clause of the quote that is open; the clauses of the one just closed
         for token in [*_token.findall(text.lower()), "."]:
             if token[0].isalpha():
                 words.append(token)
-            elif words:
+                continue
+            if words:
                 weights = [self.insult(w) for w in words]
-                if any(weights) or any(self.symbols.get(w) == "threat" for w in words):
-                    yield ["insult" if x else self.symbols.get(w, "") for w, x in zip(words, weights, strict=True)], weights
+                symbols = ["insult" if x else self.symbols.get(w, "") for w, x in zip(words, weights, strict=True)]
+                if closed:
+                    if "report" in symbols[:SAID]:
+                        out[closed] = [(s, w, True) for s, w, _ in out[closed]]
+                    closed = None
+                if any(weights) or "threat" in symbols:
+                    weights = [self.threats[w] if s == "threat" else x for w, s, x in zip(words, symbols, weights, strict=True)]
+                    out.append((symbols, weights, quote_said or colon_said))
+                if not quoted:
+                    spoke = "report" in symbols
                 words = []
+            for mark in token:
+                if mark in QUOTES and not quoted:
+                    quoted, quote_said, start = True, spoke, len(out)
+                elif mark in QUOTES or (quoted and mark == "\n"):
+                    closed = slice(start, len(out))
+                    quoted = quote_said = colon_said = spoke = False
+                elif mark == ":" and not quoted:
+                    colon_said = spoke
+                elif mark != ":" and not quoted:
+                    spoke = colon_said = False
+        return out
 
     def evidence(self, text: str) -> list[float]:
         """What the matched clauses of the whole text add up to."""
-        worst = best = plain = aimed = negated = reported = threats = 0.0
-        for symbols, weights in self.clauses(text):
-            ahead = FORWARD.run(symbols)
+        worst = best = plain = aimed = negated = reported = threats = told = 0.0
+        for symbols, weights, quoted in self.clauses(text):
+            ahead = FORWARD.run(symbols, "report" if quoted else "")
             behind = BACKWARD.run(symbols[::-1])[::-1]
-            clause = 0.0
+            clause = armed = 0.0
             for s, w, (to, no, said, threat), (after,) in zip(symbols, weights, ahead, behind, strict=True):
+                context = (0.6 if no else 1.0) * (0.7 if said else 1.0)
                 if s == "insult":
-                    part = w * (1.25 if to or after else 1.0) * (0.6 if no else 1.0) * (0.7 if said else 1.0)
+                    part = w * (1.25 if to or after else 1.0) * context
                     clause += part
                     worst = max(worst, part)
                     if no:
@@ -146,12 +205,23 @@ class Grammar:
                         aimed += w
                     else:
                         plain += w
-                elif s == "target" and threat:
-                    threats += 1
-                    clause += 1.0
+                hit = 0.0
+                if s == "threat":
+                    armed = w
+                    hit = 0.5 * w if to and not after else 0.0
+                elif threat and s in ("target", "insult"):
+                    hit, armed = armed, 0.0
+                if hit:
+                    part = hit * context * (0.4 if no or said else 1.0)
+                    clause += 2 * part
+                    worst = max(worst, 2 * part)
+                    if hit < 0.5:
+                        told = max(told, part)
+                    else:
+                        threats += part
             best = max(best, clause)
         per_word = 100 * (plain + aimed + negated + reported) / max(1, len(text) / 6)
-        return [1.0, worst, *map(math.log1p, (best, plain, aimed, negated, reported, threats, per_word))]
+        return [1.0, worst, *map(math.log1p, (best, plain, aimed, negated, reported, threats + told, per_word))]
 
     def score(self, texts) -> np.ndarray:
         x = np.array([self.evidence(t or "") for t in texts], dtype=float).reshape(-1, len(PRIOR))

@@ -31,6 +31,11 @@ def test_held_out_accuracy(spark, scores, label, modulus, held):
     truth = {r["doc_id"]: r[label] for r in labels.collect() if label == "quality" or r["quality"]}
     accuracy, auc = measured(got, truth)
     assert accuracy > 0.97 and auc > 0.98
+    # all held-out labels, those of junk texts too
+    truth = {r["doc_id"]: r[label] for r in labels.collect()}
+    found = [r["predicted"] for r in got if r["held_out"] and truth.get(r["doc_id"]) == 1]
+    print(label, "held out, all labels: accuracy and AUC", measured(got, truth), "recall", np.mean(found), len(found))
+    assert measured(got, truth)[0] > 0.95 and np.mean(found) > 0.75
 
 
 @pytest.mark.parametrize("scores", [quality_scores, toxicity_scores])
@@ -96,3 +101,26 @@ def test_clauses_weigh_by_context():
     assert negated < score("he is an idiot") and reported < score("that idiot came")
     assert score("i will kill you") > score("i will kill time")
     assert g.insult("scumbag") == 2.0 and g.insult("sc") == 0
+
+
+def test_quoted_speech_is_reported():
+    g = Grammar({}, {})
+    score = lambda t: g.score([t])[0]
+    direct, said = score("you idiot"), score("he said you idiot")
+    for quoted in ('he said: "you idiot"', 'she wrote, "you idiot"', '"you idiot", he said', "„du Trottel“, sagte er", "he said: you idiot"):
+        assert abs(score(quoted) - said) < 0.05 < direct - score(quoted), quoted
+    # neither a quote without a word of saying nor what stands behind a quote, a sentence or a line is anyone's
+    for own in ('he came. "you idiot"', 'he said "come". you idiot', "he said: come. you idiot", 'he said "come\nyou idiot', '"you idiot". he came and said'):
+        assert score(own) > 0.6, own
+
+
+def test_threats():
+    g = Grammar({}, {})
+    score = lambda t: g.score([t])[0]
+    will = score("i will kill you")
+    assert will > 0.5 and will > score("i will meet you") + 0.4 and score("we are going to strangle them") > 0.5
+    assert score("i will not kill you") < 0.2 and score('he said: "i will kill you"') < 0.2
+    assert score("i will meet you") < score("i killed you") < score("they should hang") < will
+    assert score("kill that idiot") > score("what an idiot")
+    assert score("they killed people. " * 50) < 0.3  # told, however often
+    assert score("i will kill time") == score("a fine day")
