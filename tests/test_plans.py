@@ -71,3 +71,12 @@ def test_summary_groups_before_the_party_join(spark):
     p = catalog._pm(spark, "/root/testdata/sf0.01", *catalog._SALES)
     groups = _line_sums(_rolled_up(p.sales_lines, p.silver_product_hierarchy, True), [*GROUP_KEYS, "_sys", "_k"])
     assert groups.count() < 0.8 * p.sales_lines.count()
+
+
+def test_dirty_feed_keeps_the_last_quotes(spark):
+    from tessera.plans.catalog import _dirty_quotes
+    from tessera.plans.product import Product
+    rates = spark.sql("SELECT c AS currency, CAST(d AS STRING) AS rate_date, 1.5D AS rate_to_usd "
+                      "FROM (SELECT explode(array('USD', 'SGD')) AS c), (SELECT explode(sequence(DATE'2020-01-01', DATE'2021-06-30')) AS d)")
+    got = _dirty_quotes(Product({"bronze_ref_fx_rates": rates}, spark)).groupBy("currency").agg({"*": "count", "rate_date": "max"}).collect()
+    assert {(r[0], r[1], str(r[2])) for r in got} == {("USD", 547, "2021-06-30"), ("SGD", 182, "2021-06-30")}
