@@ -12,6 +12,12 @@ from tessera.llm.common import bounded_sample, id_class
 TRAIN_ROWS = 20_000
 
 
+def chosen_labels(labels: DataFrame, label: str, modulus: int, held_out: int, id_col: str = "doc_id") -> DataFrame:
+    """``lid, y``: one row of every labelled id outside the held-out class."""
+    return (labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & (id_class(id_col, modulus) != held_out))
+            .groupBy(F.col(id_col).alias("lid")).agg(F.max(F.col(label).cast("int")).alias("y")))
+
+
 def labelled(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int,
              id_col: str = "doc_id", text_col: str = "text", bound: int = TRAIN_ROWS) -> DataFrame:
     """``id, text, y`` of about ``bound`` documents with a label, none of the
@@ -21,9 +27,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_
     holds; repeated documents come once each.  The sample of labels is bounded,
     so it is broadcast and texts are not shuffled.
     """
-    chosen = (labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & (id_class(id_col, modulus) != held_out))
-              .groupBy(F.col(id_col).alias("lid")).agg(F.max(F.col(label).cast("int")).alias("y")))
-    chosen = F.broadcast(bounded_sample(chosen, "lid", bound))
+    chosen = F.broadcast(bounded_sample(chosen_labels(labels, label, modulus, held_out, id_col), "lid", bound))
     return (docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
             .join(chosen, F.col("id") == F.col("lid")).select("id", "text", "y"))
 

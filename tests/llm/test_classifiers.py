@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tessera.llm.quality import FEATURES, features, fit, quality_scores
+from tessera.llm.quality import FEATURES, PAIRS, features, fit, quality_scores, train
 from tessera.llm.toxicity import BACKWARD, FORWARD, Grammar, toxicity_scores
 from tests.llm.tables import awkward, documents, empty
 
@@ -68,6 +68,32 @@ def test_bradley_terry_orders_pairs():
     assert abs((m.rank(x) >= m.threshold).mean() - y.mean()) < 0.02  # the quantile of the bad share
 
 
+def test_weights_are_those_of_all_pairs():
+    r = np.random.default_rng(3)
+    x, y = r.normal(size=(400, len(FEATURES))), (r.random(400) < 0.4).astype(int)
+    x[y == 1, 0] += 1.5
+    m = fit(x, y)
+    z = np.clip((x - m.mean) / m.scale, -8, 8)
+    d = (z[y == 1][:, None] - z[y == 0][None]).reshape(-1, len(FEATURES))
+    each = min(PAIRS, 50 * max((y == 1).sum(), (y == 0).sum())) / len(d)
+    slope = m.weights - each * (d / (1 + np.exp(d @ m.weights))[:, None]).sum(0)
+    assert np.abs(slope).max() < 1e-3 * each * len(d)
+
+
+def test_every_labelled_row_is_fitted_on(spark):
+    # more rows than a fit once took
+    rows = [(k, ("good text here. " if k % 2 else "BAD!! STUFF## ") * (1 + k % 7)) for k in range(28_000)]
+    labels = spark.createDataFrame([(k, k % 2, 0) for k, _ in rows], LABELS)
+    m = train(documents(spark, rows), labels)
+    kept = [(t, k % 2) for k, t in rows if zlib.crc32(str(k).encode()) % 4 != 2]
+    assert len(kept) > 20_000
+    of = {t: features(t) for t in {t for t, _ in kept}}
+    x, y = np.array([of[t] for t, _ in kept]), np.array([y for _, y in kept])
+    assert np.allclose(m.mean, x.mean(0), atol=1e-8) and np.allclose(m.scale, np.where(x.std(0) > 1e-9, x.std(0), 1), atol=1e-8)
+    whole = fit(x, y)
+    assert np.allclose(m.weights, whole.weights, atol=1e-4) and abs(m.threshold - whole.threshold) < 1e-3
+
+
 def test_features_of_odd_texts():
     for text in ("", " \n ", "a", " ", "| | |", "x" * 100_000, "a\n" * 10):
         f = features(text)
