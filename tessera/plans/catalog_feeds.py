@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.asof_ranges import asof_join
-from tessera.operators.contracts import bucketed, evaluate
+from tessera.operators.contracts import bucketed, buckets_for, evaluate
 from tessera.operators.profile import union_all
 from tessera.operators.quarantine import routed
 from tessera.operators.treediff import tree_difference
@@ -238,8 +238,9 @@ def contract_bucketed(spark, sf_dir):
     return evaluate(_bucketed_feeds(spark, sf_dir).__getitem__, _BUCKETED, stored_by_key=True).select("contract", "failures")
 
 
-def _bucketed_feeds(spark, sf_dir: str, buckets: int = 8) -> dict[str, DataFrame]:
+def _bucketed_feeds(spark, sf_dir: str, buckets: int | None = None) -> dict[str, DataFrame]:
     t = TestData(spark, sf_dir)
+    buckets = buckets or buckets_for(max(t.table(name).count() for name in ("customer", "lineitem", "part")))
     return {"bronze_pos_customers": bucketed(t.pos_customers(), "customer_id", buckets),
             "bronze_pos_orders": bucketed(t.pos_orders(), "product_id", buckets),
             "bronze_ref_product_hierarchy": bucketed(t.product_hierarchy(), "product_id", buckets)}

@@ -120,3 +120,14 @@ def test_build_on_bound_names(spark, tmp_path):
     again = Product(tables, spark)
     assert again.silver_customers.count() == tables["silver_customers"].count() > 0
     assert again.fct_revenue_summary.exceptAll(tables["fct_revenue_summary"].select(*again.fct_revenue_summary.columns)).count() == 0
+
+
+def test_buckets_grow_with_the_rows(spark, monkeypatch):
+    from tessera.operators import contracts
+    assert contracts.buckets_for(0) == contracts.buckets_for(8_000_000) == 8
+    assert contracts.buckets_for(36_000_001) == 37
+    monkeypatch.setattr(contracts, "BUCKET_ROWS", 500)
+    feeds = _bucketed_feeds(spark, SF)
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert {len(df.inputFiles()) <= -(-lines // 500) for df in feeds.values()} == {True}
+    assert len(feeds["bronze_pos_orders"].inputFiles()) > 8
