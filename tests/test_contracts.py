@@ -176,3 +176,12 @@ def test_measures_match_snapshot(spark):
         assert r.agrees is True
     empty = measures_match_snapshot(spark.createDataFrame([], ddl)).collect()
     assert len(empty) == len(SLICERS) and all(r.agrees and r.sale_lines is None for r in empty)
+
+
+def test_keys_are_held_without_the_names_of_tests(spark):
+    from tessera.operators.contracts import Check, evaluate
+    t = {"a": spark.createDataFrame([(1, 1), (1, 2), (None, 3)], "k int, p int"), "b": spark.createDataFrame([(1,), (2,)], "k int")}
+    got = evaluate(t.__getitem__, [Check("a", "k", "unique"), Check("a", "p", "relationships", to_table="b", to_column="k")])
+    assert {(r.contract, r.failures) for r in got.collect()} == {("unique_a_k", 1), ("relationships_a_p", 1)}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "[_number" in plan and "Aggregate [contract" not in plan
