@@ -126,3 +126,12 @@ def test_summary_from_lines_equals_summary_from_fact(spark, extra):
     from_lines = gold.revenue_summary_from_lines(p.sales_lines, p.silver_product_hierarchy, p.dim_party)
     from_fact = gold.revenue_summary(p.fct_sales, p.silver_product_hierarchy, p.dim_party)
     assert sorted(from_lines.collect()) == sorted(from_fact.collect())
+
+
+def test_groups_of_lines_hold_no_labels(product):
+    parts = (product.silver_product_hierarchy, product.dim_party)
+    for summary in (gold.revenue_summary_from_lines(product.sales_lines, *parts), gold.revenue_summary(product.fct_sales, *parts)):
+        plan = summary._jdf.queryExecution().optimizedPlan().toString()
+        keys = [line.split("Aggregate [", 1)[1].split("]", 1)[0] for line in plan.splitlines() if "Aggregate [" in line and "is_cancelled" in line]
+        assert len(keys) == 1 and "label" not in keys[0] and "_sys#" not in keys[0]
+        assert summary.where("fiscal_quarter_label <> concat(fiscal_year_label, ' Q', fiscal_quarter)").count() == 0
